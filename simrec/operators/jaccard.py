@@ -1,12 +1,24 @@
 """Baskets and exact Jaccard similarity between item member-sets.
 
-Exact all-pairs search uses prefix filtering: order every member globally by
-(frequency, id), rarest first. Two sets with Jaccard >= t must share a member
-among the first |x| - ceil(t*|x|) + 1 of each one's ordered members, so only
-pairs meeting in those prefixes (and passing the length filter
-t*|y| <= |x| <= |y|/t) are counted exactly. Common members, which make a plain
-member self-join quadratic, fall at the end of the order and are never
-paired on. No per-item array is built: sets stay in long form.
+Members are first replaced by dense BIGINT codes (``x`` in 1..n, sorted id
+order; see ``ranking.dense_ordinals``) so every later join and aggregate
+works on fixed-width keys. The coded baskets are checkpointed once and shared
+by MinHash, candidate pruning and verification.
+
+Exact search prunes pairs with three necessary conditions for J >= t, all
+exact (no pair reaching t is lost):
+
+1. prefix: order every member globally by (frequency, code), rarest first;
+   two sets with J >= t share a member among the first
+   |x| - ceil(t*|x|) + 1 of each one's ordered members;
+2. length: t*|y| <= |x| <= |y|/t;
+3. position: with c shared prefix members, the last of them at positions
+   i (in x) and j (in y), the overlap is at most c + min(|x|-i, |y|-j), and
+   J >= t needs overlap >= ceil(t/(1+t) * (|x|+|y|)).
+
+Common members, which make a plain member self-join quadratic, fall at the
+end of the order and are never paired on. Survivors are verified by counting
+the overlap exactly. No per-item array is built: sets stay in long form.
 """
 
 from __future__ import annotations
@@ -15,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import LENGTH_EPS, PAIR_BLOCK_SIZE, THRESHOLD
+from ..session import reliable_checkpoint
 from .pairs import pairs_in_groups
-from .ranking import row_number_within
+from .ranking import dense_ordinals, row_number_within
 
 
 def baskets(df: DataFrame, item_col: str = "item_id", member_col: str = "member_id") -> DataFrame:
@@ -27,7 +40,7 @@ def baskets(df: DataFrame, item_col: str = "item_id", member_col: str = "member_
 
 
 def basket_sizes(bk: DataFrame) -> DataFrame:
-    """``(item_id, n_members)`` — items are counted by partial + final aggregate."""
+    """``(item_id, n_members)`` — counted by partial + final aggregate."""
     return bk.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_members"))
 
 
@@ -39,17 +52,25 @@ def item_member_counts(df: DataFrame, item_col: str = "item_id",
                    F.count(F.lit(1)).alias("n_rows")))
 
 
-def verify_pairs(candidates: DataFrame, bk: DataFrame, threshold: float | None = THRESHOLD,
-                 sizes: DataFrame | None = None) -> DataFrame:
+def encode_baskets(bk: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """``(item_id, x, n)``: baskets with members replaced by their 1-based
+    sorted ordinal x; n is the number of distinct members. Checkpointed so the
+    several consumers neither re-tokenise nor re-rank."""
+    ords = dense_ordinals(bk, "member_id", out="x", total="n")
+    coded = bk.join(ords, "member_id").select("item_id", "x", "n")
+    return reliable_checkpoint(coded) if checkpoint else coded
+
+
+def verify_pairs(candidates: DataFrame, ebk: DataFrame, threshold: float | None = THRESHOLD,
+                 sizes: DataFrame | None = None, member: str = "x") -> DataFrame:
     """Exact Jaccard of candidate pairs ``(item_1, item_2)``.
 
     The overlap is counted from the *smaller* set: its members are looked up
     in the larger set with a semi-join on (item, member), so the work per pair
-    is min(|A|, |B|) rows and no set is materialised as an array.
-    Returns ``(item_1, item_2, similarity)``; ``threshold=None`` keeps every
-    candidate with a non-empty overlap.
+    is min(|A|, |B|) rows. Returns ``(item_1, item_2, similarity)``;
+    ``threshold=None`` keeps every candidate with a non-empty overlap.
     """
-    sizes = sizes if sizes is not None else basket_sizes(bk)
+    sizes = sizes if sizes is not None else basket_sizes(ebk)
     s1 = sizes.select(F.col("item_id").alias("item_1"), F.col("n_members").alias("n_1"))
     s2 = sizes.select(F.col("item_id").alias("item_2"), F.col("n_members").alias("n_2"))
     cand = candidates.select("item_1", "item_2").join(s1, "item_1").join(s2, "item_2")
@@ -57,9 +78,9 @@ def verify_pairs(candidates: DataFrame, bk: DataFrame, threshold: float | None =
     oriented = cand.select("item_1", "item_2", "n_1", "n_2",
                            F.when(swap, F.col("item_2")).otherwise(F.col("item_1")).alias("_drv"),
                            F.when(swap, F.col("item_1")).otherwise(F.col("item_2")).alias("_oth"))
-    expanded = oriented.join(bk.select(F.col("item_id").alias("_drv"), "member_id"), "_drv")
-    shared = expanded.join(bk.select(F.col("item_id").alias("_oth"), "member_id"),
-                           ["_oth", "member_id"], "left_semi")
+    expanded = oriented.join(ebk.select(F.col("item_id").alias("_drv"), F.col(member).alias("_m")), "_drv")
+    shared = expanded.join(ebk.select(F.col("item_id").alias("_oth"), F.col(member).alias("_m")),
+                           ["_oth", "_m"], "left_semi")
     overlap = shared.groupBy("item_1", "item_2", "n_1", "n_2").agg(F.count(F.lit(1)).alias("_k"))
     sim = (F.col("_k").cast("double")
            / (F.col("n_1") + F.col("n_2") - F.col("_k")).cast("double"))
@@ -69,22 +90,36 @@ def verify_pairs(candidates: DataFrame, bk: DataFrame, threshold: float | None =
     return out
 
 
-def exact_similar_pairs(bk: DataFrame, threshold: float = THRESHOLD,
-                        block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
-    """All pairs with Jaccard >= ``threshold`` (> 0), exactly, by prefix filtering."""
+def prefix_candidates(ebk: DataFrame, threshold: float = THRESHOLD, sizes: DataFrame | None = None,
+                      block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
+    """Pairs ``(item_1, item_2)`` passing the prefix, length and positional
+    filters for Jaccard >= ``threshold`` (a superset of the true pairs)."""
     if not threshold > 0:
         raise ValueError("threshold must be > 0 for the prefix filter")
-    sizes = basket_sizes(bk)
-    freq = bk.groupBy("member_id").agg(F.count(F.lit(1)).alias("_df"))
-    ranked = row_number_within(bk.join(freq, "member_id").join(sizes, "item_id"),
-                               ["item_id"], ["_df", "member_id"], out="_rn")
+    t = float(threshold)
+    sizes = sizes if sizes is not None else basket_sizes(ebk)
+    freq = ebk.groupBy("x").agg(F.count(F.lit(1)).alias("_df"))
+    ranked = row_number_within(ebk.select("item_id", "x").join(freq, "x").join(sizes, "item_id"),
+                               ["item_id"], ["_df", "x"], out="_rn")
     n = F.col("n_members")
-    prefix_len = n - F.ceil(F.lit(float(threshold)) * n - F.lit(LENGTH_EPS)) + 1
-    prefix = ranked.where(F.col("_rn") <= prefix_len).select("member_id", "item_id", "n_members")
-    pairs = pairs_in_groups(prefix, ["member_id"], "item_id", carry_cols=["n_members"],
+    prefix_len = n - F.ceil(F.lit(t) * n - F.lit(LENGTH_EPS)) + 1
+    prefix = ranked.where(F.col("_rn") <= prefix_len).select("x", "item_id", "n_members", "_rn")
+    pairs = pairs_in_groups(prefix, ["x"], "item_id", carry_cols=["n_members", "_rn"],
                             block_size=block_size)
-    small = F.least(F.col("n_members_1"), F.col("n_members_2"))
-    big = F.greatest(F.col("n_members_1"), F.col("n_members_2"))
-    candidates = (pairs.where(small.cast("double") >= F.lit(float(threshold)) * big - F.lit(LENGTH_EPS))
-                       .select("item_1", "item_2").distinct())
-    return verify_pairs(candidates, bk, threshold, sizes=sizes)
+    n1, n2 = F.col("n_members_1"), F.col("n_members_2")
+    pairs = pairs.where(F.least(n1, n2).cast("double") >= F.lit(t) * F.greatest(n1, n2) - F.lit(LENGTH_EPS))
+    grouped = pairs.groupBy("item_1", "item_2", "n_members_1", "n_members_2").agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_rn_1").alias("_i"), F.max("_rn_2").alias("_j"))
+    bound = F.col("_c") + F.least(n1 - F.col("_i"), n2 - F.col("_j"))
+    need = F.ceil(F.lit(t / (1.0 + t)) * (n1 + n2) - F.lit(LENGTH_EPS))
+    return grouped.where(bound >= need).select("item_1", "item_2")
+
+
+def exact_similar_pairs(bk: DataFrame, threshold: float = THRESHOLD,
+                        block_size: int = PAIR_BLOCK_SIZE, ebk: DataFrame | None = None) -> DataFrame:
+    """All pairs with Jaccard >= ``threshold`` (> 0), exactly:
+    ``(item_1, item_2, similarity)``."""
+    ebk = ebk if ebk is not None else encode_baskets(bk)
+    sizes = basket_sizes(ebk)
+    cand = prefix_candidates(ebk, threshold, sizes, block_size)
+    return verify_pairs(cand, ebk, threshold, sizes=sizes)

@@ -57,6 +57,7 @@ def q_member_ordinals(spark, d):
     return ranking.dense_ordinals(_doc_baskets(spark, d), "member_id", out="x", total="n")
 
 
+
 def q_minhash_signatures(spark, d):
     return minhash.minhash_signatures(_doc_baskets(spark, d))
 
@@ -71,8 +72,11 @@ def q_similar_items_lsh(spark, d):
 
 def q_lsh_pair_metrics(spark, d):
     bk = _doc_baskets(spark, d)
-    return evaluate.pair_metrics(minhash.similar_items(bk, method="lsh"),
-                                 jaccard.exact_similar_pairs(bk))
+    ebk = jaccard.encode_baskets(bk)
+    sizes = jaccard.basket_sizes(ebk)
+    exact = jaccard.verify_pairs(jaccard.prefix_candidates(ebk, sizes=sizes), ebk, sizes=sizes)
+    lsh = minhash.lsh_candidates(bk, ebk=ebk).join(exact, ["item_1", "item_2"], "left_semi")
+    return evaluate.pair_metrics(lsh, exact)
 
 
 def q_item_jaccard_exact(spark, d):

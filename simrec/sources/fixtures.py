@@ -63,8 +63,18 @@ def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hold.unionByName(seen).unionByName(cold_user).unionByName(cold_item)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields
+    fewer splits than cores (one big row group); a no-op at scale, where a
+    table has far more splits than cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = docs.select(F.col("doc_id").alias("item_id"),
                         F.explode(F.split(F.lower(F.col("text")), r"\s+")).alias("member_id"))
     return words.where(F.col("member_id") != "").distinct()
