@@ -37,7 +37,7 @@ def read_ratings(spark: SparkSession, path: str, fmt: str | None = None) -> Data
         df = df.withColumn("stars", F.lit(None))
     return df.select(F.trim(F.col("user_id").cast("string")).alias("user_id"),
                      F.trim(F.col("item_id").cast("string")).alias("item_id"),
-                     F.try_cast(F.trim(F.col("stars").cast("string")), "double").alias("stars"))
+                     F.trim(F.col("stars").cast("string")).try_cast("double").alias("stars"))
 
 
 def read_pairs(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
