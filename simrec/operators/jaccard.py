@@ -57,7 +57,7 @@ def encode_baskets(bk: DataFrame, checkpoint: bool = True) -> DataFrame:
     sorted ordinal x; n is the number of distinct members. Checkpointed so the
     several consumers neither re-tokenise nor re-rank."""
     ords = dense_ordinals(bk, "member_id", out="x", total="n")
-    coded = bk.join(ords, "member_id").select("item_id", "x", "n")
+    coded = bk.join(ords.hint("shuffle_hash"), "member_id").select("item_id", "x", "n")
     return reliable_checkpoint(coded) if checkpoint else coded
 
 
@@ -73,15 +73,21 @@ def verify_pairs(candidates: DataFrame, ebk: DataFrame, threshold: float | None
     sizes = sizes if sizes is not None else basket_sizes(ebk)
     s1 = sizes.select(F.col("item_id").alias("item_1"), F.col("n_members").alias("n_1"))
     s2 = sizes.select(F.col("item_id").alias("item_2"), F.col("n_members").alias("n_2"))
-    cand = candidates.select("item_1", "item_2").join(s1, "item_1").join(s2, "item_2")
+    cand = (candidates.select("item_1", "item_2").join(s1.hint("shuffle_hash"), "item_1")
+                      .join(s2.hint("shuffle_hash"), "item_2"))
     swap = F.col("n_1") > F.col("n_2")
-    oriented = cand.select("item_1", "item_2", "n_1", "n_2",
-                           F.when(swap, F.col("item_2")).otherwise(F.col("item_1")).alias("_drv"),
+    oriented = cand.select(F.when(swap, F.col("item_2")).otherwise(F.col("item_1")).alias("_drv"),
                            F.when(swap, F.col("item_1")).otherwise(F.col("item_2")).alias("_oth"))
+    # the expanded rows carry only (driver, other, member); sizes rejoin after the count
     expanded = oriented.join(ebk.select(F.col("item_id").alias("_drv"), F.col(member).alias("_m")), "_drv")
-    shared = expanded.join(ebk.select(F.col("item_id").alias("_oth"), F.col(member).alias("_m")),
-                           ["_oth", "_m"], "left_semi")
-    overlap = shared.groupBy("item_1", "item_2", "n_1", "n_2").agg(F.count(F.lit(1)).alias("_k"))
+    # (item, member) is unique, so hashing the basket side per partition is
+    # skew-free and spares sorting the much larger expanded side. Throughout,
+    # the shuffle_hash hint goes on sides whose join key is unique.
+    probe = ebk.select(F.col("item_id").alias("_oth"), F.col(member).alias("_m")).hint("shuffle_hash")
+    shared = expanded.join(probe, ["_oth", "_m"], "left_semi")
+    overlap = (shared.groupBy("_drv", "_oth").agg(F.count(F.lit(1)).alias("_k"))
+                     .select(F.least("_drv", "_oth").alias("item_1"), F.greatest("_drv", "_oth").alias("item_2"), "_k")
+                     .join(s1.hint("shuffle_hash"), "item_1").join(s2.hint("shuffle_hash"), "item_2"))
     sim = (F.col("_k").cast("double")
            / (F.col("n_1") + F.col("n_2") - F.col("_k")).cast("double"))
     out = overlap.select("item_1", "item_2", sim.alias("similarity"))
@@ -99,7 +105,8 @@ def prefix_candidates(ebk: DataFrame, threshold: float = THRESHOLD, sizes: DataF
     t = float(threshold)
     sizes = sizes if sizes is not None else basket_sizes(ebk)
     freq = ebk.groupBy("x").agg(F.count(F.lit(1)).alias("_df"))
-    ranked = row_number_within(ebk.select("item_id", "x").join(freq, "x").join(sizes, "item_id"),
+    ranked = row_number_within(ebk.select("item_id", "x").join(freq.hint("shuffle_hash"), "x")
+                                  .join(sizes.hint("shuffle_hash"), "item_id"),
                                ["item_id"], ["_df", "x"], out="_rn")
     n = F.col("n_members")
     prefix_len = n - F.ceil(F.lit(t) * n - F.lit(LENGTH_EPS)) + 1

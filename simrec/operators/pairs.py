@@ -33,7 +33,7 @@ def pairs_in_groups(df: DataFrame, group_cols: Sequence[str], item_col: str,
     sizes = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_pg_size"))
                .where(F.col("_pg_size") > 1))
     nblk = F.ceil(F.col("_pg_size") / F.lit(block_size)).cast("int")
-    base = (df.join(sizes, group_cols)
+    base = (df.join(sizes.hint("shuffle_hash"), group_cols)
               .withColumn("_pg_nblk", nblk)
               .withColumn("_pg_blk", F.pmod(F.xxhash64(F.col(item_col)), F.col("_pg_nblk")).cast("int")))
     # left copy of a row in block b meets blocks b..nblk-1; right copy meets 0..b
