@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload (similar items, CF and ALS predictions, their metrics) reads
+static tables only; it has no stream, watermark, window or state, so no
+streaming operator is provided here.
+"""
