@@ -8,21 +8,17 @@ from pyspark.sql import functions as F
 from .constants import DEFAULT_STARS, MAX_STARS, MIN_STARS, ZERO_WEIGHT_EPS
 
 
-def hash_coefficients(raw_a: int, raw_b: int, n: Column) -> tuple[Column, Column]:
-    """(a, b) of one universal hash for modulus ``n`` (a BIGINT column/scalar).
-
-    a is odd and in [1, n-1]; b is in [0, n-1]. ``n`` may be a scalar subquery,
-    so the whole signature stays one lazy plan.
-    """
-    half = F.greatest(F.floor(n / F.lit(2)).cast("long"), F.lit(1).cast("long"))
-    a = F.lit(1).cast("long") + F.lit(2).cast("long") * F.pmod(F.lit(raw_a).cast("long"), half)
-    b = F.pmod(F.lit(raw_b).cast("long"), n.cast("long"))
-    return a, b
+def hash_coefficients(raw_a: int, raw_b: int, n: int) -> tuple[int, int]:
+    """(a, b) of one universal hash for modulus ``n``: a odd in [1, n-1]
+    (1 when n <= 2), b in [0, n-1]."""
+    return 1 + 2 * (raw_a % max(n // 2, 1)), raw_b % max(n, 1)
 
 
-def universal_hash(x: Column, a: Column, b: Column, n: Column) -> Column:
-    """(a*x + b) mod n on BIGINT (exact while n^2 < 2^63)."""
-    return F.pmod(a * x.cast("long") + b, n.cast("long"))
+def universal_hash(x: Column, a: int, b: int, n: int) -> Column:
+    """(a*x + b) mod n on BIGINT (exact while n^2 < 2^63); literals keep the
+    per-row work to one multiply-add and one modulo."""
+    return F.pmod(x.cast("long") * F.lit(a).cast("long") + F.lit(b).cast("long"),
+                  F.lit(max(n, 1)).cast("long"))
 
 
 def clamp_stars(x: Column) -> Column:
