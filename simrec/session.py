@@ -25,6 +25,8 @@ _LOCAL_CONF = {
     # far larger than its file); broadcast only on AQE's measured sizes
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # drop checkpoint files once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
