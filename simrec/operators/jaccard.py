@@ -125,8 +125,22 @@ def prefix_candidates(ebk: DataFrame, threshold: float = THRESHOLD, sizes: DataF
 def exact_similar_pairs(bk: DataFrame, threshold: float = THRESHOLD,
                         block_size: int = PAIR_BLOCK_SIZE, ebk: DataFrame | None = None) -> DataFrame:
     """All pairs with Jaccard >= ``threshold`` (> 0), exactly:
-    ``(item_1, item_2, similarity)``."""
+    ``(item_1, item_2, similarity)``. Identical baskets are searched once
+    (see ``copies``)."""
+    from . import copies
+
     ebk = ebk if ebk is not None else encode_baskets(bk)
-    sizes = basket_sizes(ebk)
-    cand = prefix_candidates(ebk, threshold, sizes, block_size)
-    return verify_pairs(cand, ebk, threshold, sizes=sizes)
+    classes = copies.copy_classes(ebk)
+    rebk = copies.representatives(ebk, classes)
+    sizes = basket_sizes(rebk)
+    rep_pairs = verify_pairs(prefix_candidates(rebk, threshold, sizes, block_size), rebk, threshold, sizes=sizes)
+    return expand_similar(rep_pairs, classes, threshold, block_size)
+
+
+def expand_similar(rep_pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD,
+                   block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
+    """Representative results -> item results, plus the pairs inside copy classes."""
+    from . import copies
+
+    inside = copies.within_class_pairs(classes, block_size).where(F.col("similarity") >= F.lit(float(threshold)))
+    return copies.expand_pairs(rep_pairs, classes, ("similarity",)).unionByName(inside)

@@ -71,11 +71,7 @@ def q_similar_items_lsh(spark, d):
 
 
 def q_lsh_pair_metrics(spark, d):
-    bk = _doc_baskets(spark, d)
-    ebk = jaccard.encode_baskets(bk)
-    sizes = jaccard.basket_sizes(ebk)
-    exact = jaccard.verify_pairs(jaccard.prefix_candidates(ebk, sizes=sizes), ebk, sizes=sizes)
-    lsh = minhash.lsh_candidates(bk, ebk=ebk).join(exact, ["item_1", "item_2"], "left_semi")
+    lsh, exact = minhash.lsh_and_exact(_doc_baskets(spark, d))
     return evaluate.pair_metrics(lsh, exact)
 
 
