@@ -65,6 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Settings every job here relies on, applied to a caller's session:
+    no plan-time auto-broadcast (file-size estimates of exploded text are far
+    below the real size), broadcast left to AQE's measured sizes, and a
+    checkpoint folder."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) in (None, "", "-1"):
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 
