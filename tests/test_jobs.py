@@ -41,3 +41,17 @@ def test_predict_files_and_rmse(spark):
     m = jobs.evaluate_predictions(io.read_ratings(spark, f"{d}/test.csv"), back).collect()[0]
     assert (m.n, m.n_missing) == (4, 0)
     assert abs(m.mse - (1.0 + 1.0 + 0.0 + 2.25) / 4) < 1e-9
+
+
+def test_command_line_jobs(spark):
+    from simrec.__main__ import main
+
+    d = _files()
+    main(["similar", f"{d}/train.csv", f"{d}/sim", "--method", "exact"])
+    main(["eval-pairs", f"{d}/sim", f"{d}/sim"])
+    m = jobs.evaluate_pairs_files(spark, f"{d}/sim", f"{d}/sim").collect()[0]
+    assert (m.tp, m.precision, m.recall) == (7, 1.0, 1.0)
+    for case in ("2", "3", "4"):
+        main(["predict", f"{d}/train.csv", f"{d}/test.csv", case, f"{d}/pred{case}"])
+        r = jobs.evaluate_predictions_files(spark, f"{d}/test.csv", f"{d}/pred{case}").collect()[0]
+        assert (r.n, r.n_missing) == (4, 0)
