@@ -105,3 +105,24 @@ def test_signature_is_min_of_universal_hash(spark):
         assert a % 2 == 1 and 1 <= a <= n - 1
         for item, s in sets.items():
             assert sig[item][f"mh_{k:02d}"] == min((a * x[f"m{m}"] + b) % n for m in s)
+
+
+def test_lsh_candidates_match_brute_force(spark):
+    sets = _random_baskets(13, n_items=30, n_members=12)
+    members = sorted({f"m{m}" for s in sets.values() for m in s})
+    x = {m: i for i, m in enumerate(members, start=1)}
+    n = len(members)
+    sig = {}
+    for item, s in sets.items():
+        row = []
+        for ra, rb in hash_constants():
+            a, b = 1 + 2 * (ra % max(n // 2, 1)), rb % n
+            row.append(min((a * x[f"m{m}"] + b) % n for m in s))
+        sig[item] = row
+    buckets = {}
+    for item, row in sig.items():
+        for label, hashes in band_rows():
+            buckets.setdefault((label, tuple(row[h - 1] % 1000 for h in hashes)), []).append(item)
+    want = {(a, b) for group in buckets.values() for a, b in itertools.combinations(sorted(group), 2)}
+    got = {tuple(r) for r in minhash.lsh_candidates(_bk(spark, sets), block_size=2).collect()}
+    assert got == want
