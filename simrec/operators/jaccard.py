@@ -130,17 +130,18 @@ def exact_similar_pairs(bk: DataFrame, threshold: float = THRESHOLD,
     from . import copies
 
     ebk = ebk if ebk is not None else encode_baskets(bk)
-    classes = copies.copy_classes(ebk)
-    rebk = copies.representatives(ebk, classes)
+    rebk, classes = copies.dedupe(ebk)
     sizes = basket_sizes(rebk)
     rep_pairs = verify_pairs(prefix_candidates(rebk, threshold, sizes, block_size), rebk, threshold, sizes=sizes)
     return expand_similar(rep_pairs, classes, threshold, block_size)
 
 
-def expand_similar(rep_pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD,
+def expand_similar(rep_pairs: DataFrame, classes: DataFrame | None, threshold: float = THRESHOLD,
                    block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
     """Representative results -> item results, plus the pairs inside copy classes."""
     from . import copies
 
+    if classes is None:
+        return rep_pairs
     inside = copies.within_class_pairs(classes, block_size).where(F.col("similarity") >= F.lit(float(threshold)))
     return copies.expand_pairs(rep_pairs, classes, ("similarity",)).unionByName(inside)
