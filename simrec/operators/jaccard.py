@@ -110,7 +110,8 @@ def prefix_candidates(ebk: DataFrame, threshold: float = THRESHOLD, sizes: DataF
                                ["item_id"], ["_df", "x"], out="_rn")
     n = F.col("n_members")
     prefix_len = n - F.ceil(F.lit(t) * n - F.lit(LENGTH_EPS)) + 1
-    prefix = ranked.where(F.col("_rn") <= prefix_len).select("x", "item_id", "n_members", "_rn")
+    # read twice by the pair generator (group sizes and rows): write it once
+    prefix = reliable_checkpoint(ranked.where(F.col("_rn") <= prefix_len).select("x", "item_id", "n_members", "_rn"))
     pairs = pairs_in_groups(prefix, ["x"], "item_id", carry_cols=["n_members", "_rn"],
                             block_size=block_size)
     n1, n2 = F.col("n_members_1"), F.col("n_members_2")
