@@ -126,3 +126,16 @@ def test_lsh_candidates_match_brute_force(spark):
     want = {(a, b) for group in buckets.values() for a, b in itertools.combinations(sorted(group), 2)}
     got = {tuple(r) for r in minhash.lsh_candidates(_bk(spark, sets), block_size=2).collect()}
     assert got == want
+
+
+def test_copy_classes_group_identical_sets_only(spark):
+    from simrec.operators import copies
+
+    sets = {"a": {1, 2, 3}, "b": {1, 2, 3}, "c": {1, 2, 4}, "d": {3, 2, 1}, "e": {9}, "f": {9}, "g": {1, 2}}
+    ebk = jaccard.encode_baskets(_bk(spark, sets))
+    classes = {r.item_id: r.rep_id for r in copies.copy_classes(ebk).collect()}
+    assert classes == {"a": "a", "b": "a", "d": "a", "c": "c", "e": "e", "f": "e", "g": "g"}
+    rebk, cls = copies.dedupe(ebk)
+    assert cls is not None and {r.item_id for r in rebk.select("item_id").distinct().collect()} == {"a", "c", "e", "g"}
+    single = jaccard.encode_baskets(_bk(spark, {"a": {1}, "b": {2}}))
+    assert copies.dedupe(single)[1] is None
