@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import als, cf, evaluate, jaccard, minhash, ranking
 from ..sources import fixtures as fx
+from ..session import reliable_checkpoint
 from ..sources.ratings import dedupe_ratings
 from .jobs import item_baskets
 
@@ -112,7 +113,7 @@ def q_item_cf_amplified(spark, d):
 
 
 def _lsh_item_cf(spark, d, weighting, mode):
-    train = _train(spark, d)
+    train = reliable_checkpoint(_train(spark, d))      # feeds both LSH and CF
     cand = minhash.lsh_candidates(item_baskets(train))
     return _rounded(cf.predict_item_cf(train, fx.test_pairs(spark, d), candidates=cand,
                                        weighting=weighting, lsh_mode=mode))
