@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, reliable_checkpoint, shuffle_partitions
 
 __all__ = ["WS", "WORD", "Frame", "arrow_batches", "checkpoint", "ensure_checkpoint_dir", "pick",
+          "small_side",
            "shuffle_partitions", "split_words", "table", "word_count"]
 
 #: ASCII white space, as a regex class body; a word is a maximal run of anything else
@@ -85,3 +86,13 @@ def arrow_batches(spark, rows: int = 256) -> None:
     Sets the session's ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: rows of a narrow key table (ids, hashes, short strings) that may be broadcast: about 20 MB
+BROADCAST_ROWS = 200_000
+
+
+def small_side(keys: DataFrame) -> DataFrame:
+    """``keys``, materialised; hinted for broadcast only if its counted rows are few."""
+    keys = checkpoint(keys)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, token_counts
+from . import chat, decontaminate, langid, mixing, quality, simhash, token_counts, url_filter
 from .common import table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -103,14 +103,183 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.simhash_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                          "component_id")
+
+
+URL_RULES = (
+    url_filter.UrlRule("allow", "org", "/"),
+    url_filter.UrlRule("block", "example.org", "/es/"),
+    url_filter.UrlRule("block", "example.org", "/en/1"),
+    url_filter.UrlRule("allow", "com", "/fr/"),
+    url_filter.UrlRule("block", "com", "/de/"),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+_A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RULES_SQL = " UNION ALL ".join(
+    f"SELECT '{r.verdict}' AS verdict, '{r.host}' AS h, '{r.path}' AS p" for r in URL_RULES)
+
+
+def _url_parts(url: str) -> str:
+    rx = "://([^/?#]*)([^?#]*)([?][^#]*)?"
+    return (f"translate(coalesce(regexp_extract({url}, '{rx}', 1), ''), '{_A}', '{_Z}') AS host, "
+            f"coalesce(regexp_extract({url}, '{rx}', 2), '') AS path, "
+            f"coalesce(regexp_extract({url}, '{rx}', 3), '') AS query")
+
+
+def _tag(before: str, inside: str, value: str) -> str:
+    """First tag of a kind, then the wanted attribute (RE2 has no look-ahead)."""
+    tags = f"regexp_extract_all(html, '(?is)<{before}\\b[^>]*>')"
+    tag = f"list_filter({tags}, lambda t: regexp_matches(t, '(?is){inside}'))[1]"
+    return f"regexp_extract(coalesce({tag}, ''), '(?is){value}', 1)"
+
+
+_Q = """["'']?"""
+OP4_SQL = f"""
+WITH RECURSIVE rules AS ({_RULES_SQL}),
+hrefs AS (
+  SELECT url, {_tag("link", f"rel\\s*=\\s*{_Q}canonical", f"href\\s*=\\s*{_Q}([^''\"\\s>]+)")} AS href FROM pages
+  UNION ALL
+  SELECT url, {_tag("meta", f"http-equiv\\s*=\\s*{_Q}refresh", f"url\\s*=\\s*{_Q}([^''\"\\s>]+)")} FROM pages),
+targets AS (
+  SELECT url, CASE WHEN contains(href, '://') THEN href
+    WHEN starts_with(href, '//') THEN regexp_extract(url, '^([^:/?#]*)://', 1) || ':' || href
+    WHEN starts_with(href, '/') THEN '://' || host || href
+    WHEN starts_with(href, '#') THEN NULL
+    WHEN starts_with(href, '?') THEN '://' || host || path || href
+    ELSE '://' || host || CASE WHEN regexp_extract(path, '^(.*/)', 1) = '' THEN '/'
+      ELSE regexp_extract(path, '^(.*/)', 1) END || href END AS target
+  FROM (SELECT url, href, {_url_parts("url")} FROM hrefs WHERE href <> '' AND url IS NOT NULL)),
+edges AS (
+  SELECT a, b FROM (
+    SELECT (SELECT host || path || query FROM (SELECT {_url_parts("url")})) AS a,
+           (SELECT host || path || query FROM (SELECT {_url_parts("target")})) AS b FROM targets)
+  WHERE a <> b AND a <> '' AND b <> ''),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (SELECT a AS node, a AS other FROM both_ways
+          UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a),
+judged AS (
+  SELECT addr, host, path, query, h || p AS rule, verdict FROM (
+    SELECT addr, {_url_parts("addr")} FROM (
+      SELECT DISTINCT url AS addr FROM pages UNION SELECT '://' || other FROM reach))
+  LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  QUALIFY row_number() OVER (PARTITION BY addr ORDER BY length(h || p) DESC NULLS LAST,
+                             verdict = 'allow' DESC, h || p DESC) = 1),
+blocked AS (
+  SELECT reach.node FROM reach JOIN judged ON judged.addr = '://' || reach.other
+  GROUP BY reach.node HAVING max(CASE verdict WHEN 'allow' THEN 1 WHEN 'block' THEN 0 END) = 0)
+SELECT page_id, j.host, j.path, j.rule,
+  CASE WHEN j.rule IS NOT NULL THEN j.verdict WHEN blocked.node IS NOT NULL THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM pages JOIN judged j ON pages.url IS NOT DISTINCT FROM j.addr
+LEFT JOIN blocked ON j.host <> '' AND blocked.node = j.host || j.path || j.query
+"""
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"),
+                                              table(spark, sf_dir, "benchmark"))
+
+
+def _masked(words: str, at: str) -> str:
+    """One text per mask: its number and the tokens it looks at."""
+    return "[" + ", ".join(
+        f"'{k}|' || " + " || ' ' || ".join(f"{words}[{at} + {o + 1}]" for o, b in enumerate(m) if b == "1")
+        for k, m in enumerate(decontaminate.MASKS)) + "]"
+
+
+def leaks_sql(documents: str = "documents") -> str:
+    """CTEs up to ``leaks`` (rid, item_id) and ``numbered`` (rid and the rows)."""
+    span = len(decontaminate.MASKS[0])
+    return rf"""numbered AS (SELECT row_number() OVER () AS rid, * FROM {documents}),
+dw AS (SELECT rid, regexp_extract_all(lower(text), '{W}') AS w FROM numbered WHERE text IS NOT NULL),
+bw AS (SELECT row_number() OVER () AS bid, item_id, regexp_extract_all(lower(text), '{W}') AS w
+       FROM benchmark WHERE text IS NOT NULL),
+dpos AS (SELECT rid, i, unnest({_masked("w", "i")}) AS seed FROM
+  (SELECT rid, w, unnest(range(0, len(w) - {span - 1})) AS i FROM dw WHERE len(w) >= {span})),
+bpos AS (SELECT bid, j, unnest({_masked("w", "j")}) AS seed FROM
+  (SELECT bid, w, unnest(range(0, len(w) - {span - 1})) AS j FROM bw WHERE len(w) >= {span})),
+hits AS (SELECT DISTINCT rid, bid, i, j FROM dpos JOIN bpos USING (seed)),
+spots AS (
+  SELECT rid, bid, size, start, i - (j - start) AS begin FROM (
+    SELECT rid, bid, i, j, least({decontaminate.WINDOW}, len(bw.w)) AS size,
+      least(greatest(j + {span // 2} - least({decontaminate.WINDOW}, len(bw.w)) // 2, 0),
+            len(bw.w) - least({decontaminate.WINDOW}, len(bw.w))) AS start
+    FROM hits JOIN bw USING (bid))),
+leaks AS (
+  SELECT DISTINCT rid, item_id FROM (SELECT DISTINCT * FROM spots) JOIN dw USING (rid) JOIN bw USING (bid)
+  WHERE len(list_filter(range(0, size), lambda k: begin + k >= 0 AND
+      coalesce(dw.w[(CASE WHEN begin + k >= 0 THEN begin + k + 1 ELSE len(dw.w) + 1 END)::BIGINT]
+               = bw.w[(start + k + 1)::BIGINT], false)))
+    >= ceil(size * {decontaminate.MIN_MATCH}::DOUBLE))"""
+
+
+OP8_SQL = f"""
+WITH {leaks_sql()},
+per AS (SELECT rid, count(DISTINCT item_id) AS n, list_sort(list_distinct(list(item_id))) AS ids
+        FROM leaks GROUP BY rid)
+SELECT doc_id, n IS NOT NULL AS contaminated, coalesce(n, 0)::BIGINT AS n_items,
+       coalesce(array_to_string(ids, ','), '') AS items
+FROM numbered LEFT JOIN per USING (rid)
+"""
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    masked = F.aggregate("masks", F.lit(0).cast("long"), lambda n, m: n + m["length"])
+    edges = F.array_join(F.transform("masks", lambda m: F.concat_ws("+", m["begin"], m["length"])), ",")
+    return out.select("conv_id", "perspective", "part", "n_turns",
+                      F.length("dialogue").cast("long").alias("n_chars"),
+                      F.size("masks").cast("long").alias("n_masks"), masked.alias("masked_chars"),
+                      F.md5(edges).alias("masks_md5"), F.md5("dialogue").alias("dialogue_md5"))
+
+
+OP9_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'),
+                       coalesce(text, '')) AS rn FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
+m AS (
+  SELECT t.conv_id, perspective, (rn - 1) // {chat.PART_TURNS} AS part, rn, t.role = perspective AS own,
+    CASE WHEN t.role = 'system' THEN '<|system|>' WHEN t.role = perspective THEN '<|assistant|>'
+         ELSE '<|user name=' || t.role || '|>' END || chr(10) AS head, text || '<|end|>' AS body
+  FROM t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+spot AS (
+  SELECT *, length(head) + coalesce(sum(length(head) + length(body) + 1) OVER (
+      PARTITION BY conv_id, perspective, part ORDER BY rn
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM m)
+SELECT conv_id, perspective, part::BIGINT AS part, count(*)::BIGINT AS n_turns,
+  sum(length(head) + length(body) + 1)::BIGINT AS n_chars, count(*) FILTER (own)::BIGINT AS n_masks,
+  coalesce(sum(length(body)) FILTER (own), 0)::BIGINT AS masked_chars,
+  md5(coalesce(string_agg(pos::BIGINT::VARCHAR || '+' || length(body), ',' ORDER BY rn) FILTER (own), '')) AS masks_md5,
+  md5(string_agg(head || body || chr(10), '' ORDER BY rn)) AS dialogue_md5
+FROM spot GROUP BY conv_id, perspective, part
+"""
+
+
 LLM_QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_simhash_neardup": op3_simhash_neardup,
+    "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
 }
 
 LLM_ORACLE = {
     "op1_mix_sources": OP1_SQL,
+    "op4_url_filter": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op8_decontaminate": OP8_SQL,
+    "op9_chat_format": OP9_SQL,
 }

@@ -1,0 +1,176 @@
+"""Brute-force and edge-case tests of the row-wise and statistical operators."""
+import random
+import re
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from simrec.llm import langid, mixing, quality, token_counts
+
+from .conftest import words
+
+W = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def test_word_count_edges(make_docs, spark):
+    from simrec.llm.common import split_words, word_count
+    texts = [None, "", " ", "a", " a ", "a\x0bb\x0c c\r\n", " x y", "\n\n"]
+    df = make_docs(list(enumerate(texts))).select("doc_id", word_count(F.col("text")).alias("n"),
+                                                  split_words(F.col("text")).alias("w"))
+    for r in df.collect():
+        want = W.findall(texts[r.doc_id] or "")
+        assert (r.n, r.w) == (len(want), want)
+
+
+def _targets(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    w = {s: weights[i % 3] for i, s in enumerate(names)}
+    want, top = share * sum(sizes.values()), {s: cap * n for s, n in sizes.items()}
+    fixed = {}
+    while True:
+        free = {s: w[s] for s in names if s not in fixed}
+        if not free:
+            return fixed
+        level = (want - sum(fixed.values())) / sum(free.values())
+        over = [s for s in free if level * w[s] >= top[s]]
+        if not over:
+            return fixed | {s: level * w[s] for s in free}
+        fixed |= {s: top[s] for s in over}
+
+
+def test_mix_targets_and_copies(make_docs):
+    rng = random.Random(1)
+    rows = [(i, " ".join(words(rng, rng.randint(1, 60))),
+             rng.choice(["a", "B", "é", None, "hot", "hot", "hot"])) for i in range(1500)]
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    want = _targets(sizes)
+    got = mixing.mix_plan(make_docs(rows)).collect()
+    taken = Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source])
+        rate = r.target / r.source_size
+        assert r.copies in (int(rate), int(rate) + 1) and r.copies * r.size <= 2 * r.size
+        taken[r.source] += r.copies * r.size
+    for s, t in want.items():
+        assert taken[s] == pytest.approx(t, rel=0.15)
+    again = {r.doc_id: r.copies for r in mixing.mix_plan(make_docs(rows).repartition(7)).collect()}
+    assert again == {r.doc_id: r.copies for r in got}
+    mix = mixing.mix_sources(make_docs(rows))
+    assert Counter(r.doc_id for r in mix.collect()) == Counter(
+        {r.doc_id: r.copies for r in got if r.copies})
+
+
+def test_mix_shuffle_join_gives_the_same(make_docs, monkeypatch):
+    rows = [(i, "a b c", f"s{i % 5}") for i in range(200)]
+    one = sorted(map(tuple, mixing.mix_plan(make_docs(rows)).select("doc_id", "copies").collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert one == sorted(map(tuple, mixing.mix_plan(make_docs(rows)).select("doc_id", "copies").collect()))
+
+
+def test_mix_odd_rows(make_docs, odd_rows, clash):
+    df = make_docs(odd_rows, clash)
+    assert mixing.mix_plan(df).count() == len(odd_rows)
+    out = mixing.mix_sources(df)
+    assert out.columns == df.columns + ["copy_no"]
+    out.collect()
+    assert mixing.mix_sources(df.limit(0)).count() == 0
+    blank = make_docs([(1, ""), (2, None)])
+    assert {r.copies for r in mixing.mix_plan(blank).collect()} == {0}
+
+
+def _features(text):
+    w = W.findall(text or "")
+    grams = Counter(zip(w, w[1:], w[2:]))
+    covered = {i + k for i in range(len(w) - 2) if grams[tuple(w[i:i + 3])] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if W.search(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_features_and_verdicts(make_docs, odd_rows, clash):
+    rng = random.Random(2)
+    rows = odd_rows + [(100 + i, " ".join(words(rng, rng.randint(0, 200), 60))) for i in range(60)]
+    rows += [(200, "la " * 200), (201, "x | # " * 10 + " ".join(words(rng, 90, 900))),
+             (202, "\n".join(["same line of text here"] * 9 + [" ".join(words(rng, 60, 9000))]))]
+    got = quality.quality_report(make_docs(rows, clash)).collect()
+    assert len(got) == len(rows)
+    want = Counter((d, *_features(t)) for d, t, *_ in rows)
+    assert Counter((r.doc_id, *(r[x] for x in quality.FEATURES)) for r in got) == want
+    by = {r.doc_id: r for r in got}
+    assert by[200].base_failed and not by[201].kept
+    assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) for r in got)
+    assert not any(r.kept and r.base_failed for r in got)
+    kept = quality.quality_filter(make_docs(rows, clash))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.kept)
+    assert kept.columns == make_docs(rows, clash).columns
+
+
+def test_quality_order_changes_no_verdict(make_docs):
+    rng = random.Random(4)
+    rows = [(i, " ".join(words(rng, rng.randint(0, 120), 50)) + " #" * rng.randint(0, 9)) for i in range(80)]
+    one = quality.quality_report(make_docs(rows), quality.DEFAULT_RULES, sample_rows=5)
+    two = quality.quality_report(make_docs(rows), quality.DEFAULT_RULES[::-1], sample_rows=500)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    assert quality.quality_report(make_docs(rows).limit(0)).count() == 0
+
+
+def test_rule_order_prefers_cheap_rejections(make_docs):
+    slow = quality.Rule("slow", lambda d: [sorted(range(2000)) for _ in range(3)] is None)
+    fast = quality.Rule("fast", lambda d: True)
+    order = quality.rule_order(make_docs([(i, "a b") for i in range(50)]), (slow, fast), 1000)
+    assert [r.name for r in order] == ["fast", "slow"]
+
+
+def test_language_id(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    labels, log_prob = langid.train(docs.where(~held))
+    assert labels == sorted(labels)
+    got = langid.predict(docs.where(held), labels, log_prob).join(docs, "doc_id").collect()
+    right = sum(r.lang == r.lang_pred for r in got)
+    assert right >= 0.97 * len(got) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_id_scores_equal_brute_force(make_docs):
+    import math
+    rows = [(0, "aab", "s", "x"), (1, "bba", "s", "y"), (2, "ab", "s", None), (3, None, "s", "x")]
+    labels, log_prob = langid.train(make_docs(rows))
+    assert labels == ["x", "y"]
+    grams = langid._hashes("aab").tolist()
+    counts = {"x": Counter(langid._hashes("aab").tolist()), "y": Counter(langid._hashes("bba").tolist())}
+    logs = []
+    for lab in labels:
+        n = sum(counts[lab].values()) + langid.BUCKETS
+        logs.append(sum(math.log((counts[lab][g] + 1) / n) for g in grams))
+    want = 1 / sum(math.exp(x - max(logs)) for x in logs)
+    got = langid.predict(make_docs([(9, "aab")]), labels, log_prob).first()
+    assert got.lang_pred == "x" and got.score == pytest.approx(want, rel=1e-3)
+
+
+def test_language_id_odd_rows(make_docs, odd_rows, clash):
+    df = make_docs(odd_rows + [(20, "123 !?")], clash)
+    labels, log_prob = langid.train(df)
+    got = langid.predict(df, labels, log_prob).collect()
+    assert len(got) == len(odd_rows) + 1
+    assert all((r.lang_pred == "und") == (r.doc_id in (3, 4, 5, 20) or r.score == 0.0) for r in got)
+    nothing = langid.train(df.limit(0))
+    assert {r.lang_pred for r in langid.predict(df, *nothing).collect()} == {"und"}
+
+
+def test_token_counts_equal_the_library(make_docs, odd_rows, clash):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = token_counts.load_tokenizer(path)
+    texts = ["Hello, it's <|endoftext|> an<|startoftext|>x", "café ́x  　 y\x1cz\x85q",
+             "ΣΑΣ İstanbul ǅ ﬁ ½ ٣", "🙂🙃 a‍b 'll 'S n't we've", "x" * 3000, "\x00\x01 ﻿"]
+    rows = odd_rows + [(50 + i, t) for i, t in enumerate(texts)]
+    for bounds in ((4000, 30_000), (1, 3), (4000, 0)):
+        got = token_counts.count_tokens(make_docs(rows, clash), path, *bounds).collect()
+        want = Counter((d, len((t or "").encode()), len(tok.encode(t or "", add_special_tokens=False).ids))
+                       for d, t in rows)
+        assert Counter(map(tuple, got)) == want
+    assert token_counts.count_tokens(make_docs(rows).limit(0), path).count() == 0
