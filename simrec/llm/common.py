@@ -12,12 +12,14 @@ both are one document and share one decision.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, reliable_checkpoint, shuffle_partitions
 
-__all__ = ["WS", "WORD", "Frame", "arrow_batches", "checkpoint", "ensure_checkpoint_dir", "pick",
+__all__ = ["SharedTable", "WS", "WORD", "Frame", "arrow_batches", "checkpoint", "ensure_checkpoint_dir", "pick",
           "small_side",
            "shuffle_partitions", "split_words", "table", "word_count"]
 
@@ -88,11 +90,37 @@ def arrow_batches(spark, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-#: rows of a narrow key table (ids, hashes, short strings) that may be broadcast: about 20 MB
-BROADCAST_ROWS = 200_000
+#: rows of a narrow key table (a few numbers each) that may be broadcast: some 40 MB
+BROADCAST_ROWS = 1_000_000
 
 
-def small_side(keys: DataFrame) -> DataFrame:
-    """``keys``, materialised; hinted for broadcast only if its counted rows are few."""
+def small_side(keys: DataFrame, weight: Column | None = None) -> DataFrame:
+    """``keys``, materialised; hinted for broadcast only if its counted rows (or the sum
+    of ``weight``, for rows that hold arrays) are few."""
     keys = checkpoint(keys)
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    size = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    return F.broadcast(keys) if keys.agg(size).first()[0] <= BROADCAST_ROWS else keys
+
+
+class SharedTable:
+    """A bucketed table in the checkpoint folder, for use within a ``with`` block.
+
+    Joins on the bucketing column read it without a shuffle.
+    """
+
+    def __init__(self, df: DataFrame, key: str, buckets: int, *order: str):
+        spark = self.spark = df.sparkSession
+        self.name = f"simrec_{uuid.uuid4().hex}"
+        self.path = f"{ensure_checkpoint_dir(spark)}/{self.name}"
+        (df.write.bucketBy(buckets, key).sortBy(key, *order).option("path", self.path)
+           .option("compression", "zstd").saveAsTable(self.name))
+        self.df = spark.table(self.name)
+
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

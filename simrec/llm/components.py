@@ -42,8 +42,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     edges with a null end are ignored. No edges give no rows."""
     e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull())
+    e = checkpoint(e.distinct())
     loops = e.where("a = b").select(F.col("a").alias("node"), F.col("b").alias("component"))
-    e = checkpoint(e.where("a > b").distinct())
+    e = e.where("a > b")
     before = _signature(e)
     while before[0]:
         e = checkpoint(_small_star(_large_star(e)))

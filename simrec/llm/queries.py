@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, quality, simhash, token_counts, url_filter
+from . import chat, decontaminate, langid, line_dedup, mixing, quality, simhash, token_counts, url_filter
 from .common import table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -103,6 +103,51 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
+
+
+def kept_lines_sql(documents: str = "documents") -> str:
+    """CTEs up to ``gone`` (pos) over ``lines`` (doc_id, i, pos, line); unique ids."""
+    return rf"""lines AS (
+  SELECT doc_id, i, doc_id * {1 << 27} + i AS pos, line FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(0, len(string_split(text, chr(10))))) AS i FROM {documents} WHERE text IS NOT NULL)),
+firsts AS (SELECT line, min(pos) AS first FROM lines WHERE regexp_matches(line, '{W}') GROUP BY line),
+toks AS MATERIALIZED (
+  SELECT first, unnest(list_distinct(regexp_extract_all(line, '{W}'))) AS w FROM firsts),
+dfs AS (SELECT w, count(*) AS df FROM toks GROUP BY w),
+ranked AS (
+  SELECT first, w, row_number() OVER (PARTITION BY first ORDER BY df, w) AS k,
+         count(*) OVER (PARTITION BY first) AS m FROM toks JOIN dfs USING (w)),
+prefix AS MATERIALIZED (SELECT * FROM ranked WHERE k <= m - ceil(m * 4 / 5) + 1),
+cand AS (
+  SELECT DISTINCT a.first AS x, b.first AS y, a.m AS mx, b.m AS my FROM prefix a JOIN prefix b USING (w)
+  WHERE b.first < a.first AND 5 * least(a.m, b.m) >= 4 * greatest(a.m, b.m)),
+matched AS (
+  SELECT DISTINCT x FROM (
+    SELECT x, y, mx, my, count(*) AS o FROM cand JOIN toks a ON a.first = x
+    JOIN toks b ON b.first = y AND a.w = b.w GROUP BY ALL)
+  WHERE 9 * o >= 4 * (mx + my)),
+gone AS (
+  SELECT pos FROM lines JOIN firsts USING (line)
+  WHERE pos <> first OR first IN (SELECT x FROM matched))"""
+
+
+OP2_SQL = f"""
+WITH {kept_lines_sql()},
+per AS (
+  SELECT doc_id, count(*) FILTER (regexp_matches(line, '{W}')) AS n_lines,
+    count(*) FILTER (pos IN (SELECT pos FROM gone)) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (pos NOT IN (SELECT pos FROM gone)), '') AS kept
+  FROM lines GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       md5(kept) AS kept_md5
+FROM documents LEFT JOIN per USING (doc_id)
+"""
+
+
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.simhash_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -267,6 +312,7 @@ FROM spot GROUP BY conv_id, perspective, part
 
 LLM_QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_line_dedup": op2_line_dedup,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
@@ -278,6 +324,7 @@ LLM_QUERIES = {
 
 LLM_ORACLE = {
     "op1_mix_sources": OP1_SQL,
+    "op2_line_dedup": OP2_SQL,
     "op4_url_filter": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
     "op8_decontaminate": OP8_SQL,

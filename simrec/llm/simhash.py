@@ -179,7 +179,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, groups: int = G
     other = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     dealt = (_tiles(distinct, groups).withColumn("_o", other)
              .withColumn("g", F.least("grp", "_o")).withColumn("h", F.greatest("grp", "_o"))
-             .select("g", "h", "grp", "fps"))
+             .select("g", "h", "grp", "fps").repartition(groups * (groups + 1) // 2, "g", "h"))
 
     def links(key: tuple, group: pa.Table) -> pa.Table:
         g, h = (k.as_py() for k in key)
