@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, line_dedup, mixing, quality, simhash, token_counts, url_filter
+from . import chat, decontaminate, langid, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, url_filter
 from .common import table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -228,6 +228,11 @@ LEFT JOIN blocked ON j.host <> '' AND blocked.node = j.host || j.path || j.query
 """
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"),
                                               table(spark, sf_dir, "benchmark"))
@@ -317,6 +322,7 @@ LLM_QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
