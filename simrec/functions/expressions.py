@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import DEFAULT_STARS, MAX_STARS, MIN_STARS, ZERO_WEIGHT_EPS
+from .constants import DEFAULT_STARS, MAX_STARS, MIN_STARS, STARS_TYPE
 
 
 def hash_coefficients(raw_a: int, raw_b: int, n: int) -> tuple[int, int]:
@@ -33,9 +33,8 @@ def centred_moments(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column,
                     sxy: Column) -> tuple[Column, Column, Column]:
     """n-scaled centred sums: (n*Sxy - Sx*Sy, n*Sxx - Sx^2, n*Syy - Sy^2).
 
-    With integer-valued (or half-integer) stars every term is an exact double,
-    so a zero covariance or a zero spread is detected exactly, independent of
-    the summation order.
+    The sums are DECIMAL, so a zero covariance or a zero spread is detected exactly,
+    whatever the stars and the summation order.
     """
     cxy = n * sxy - sx * sy
     cxx = n * sxx - sx * sx
@@ -49,11 +48,18 @@ def similarity_ratio(n: Column, cxy: Column, cxx: Column, cyy: Column) -> tuple[
     d2 is the *sum* of the two norms (not their product). Degenerate means
     d2 = 0, i.e. both sides constant over the co-rated entries.
     """
-    d1 = cxy / n
-    d2 = F.sqrt(F.greatest(cxx, F.lit(0.0)) / n) + F.sqrt(F.greatest(cyy, F.lit(0.0)) / n)
+    n = n.cast("double")
+    d1 = cxy.cast("double") / n
+    d2 = F.sqrt(cxx.cast("double") / n) + F.sqrt(cyy.cast("double") / n)
     degenerate = (cxx <= 0) & (cyy <= 0)
     return degenerate, F.when(degenerate, F.lit(None).cast("double")).otherwise(F.try_divide(d1, d2))
 
 
-def is_zero_weight(total: Column) -> Column:
-    return total.isNull() | (F.abs(total) < F.lit(ZERO_WEIGHT_EPS))
+def exact_stars(stars: Column) -> Column:
+    return stars.cast(STARS_TYPE)
+
+
+def is_zero_weight(total: Column, eps: float = 0.0) -> Column:
+    """Whether a weight sum is zero: exactly for sums of non-negative terms; sums of signed
+    terms can miss zero by rounding, so they are compared with ``eps``."""
+    return total.isNull() | (F.abs(total) < F.lit(eps) if eps else total == 0)

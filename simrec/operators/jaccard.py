@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import LENGTH_EPS, PAIR_BLOCK_SIZE, THRESHOLD
 from ..session import reliable_checkpoint
-from .pairs import pairs_in_groups
+from .pairs import blocked_join, pairs_in_groups
 from .ranking import dense_ordinals, row_number_within
 
 
@@ -79,11 +79,10 @@ def verify_pairs(candidates: DataFrame, ebk: DataFrame, threshold: float | None
     oriented = cand.select(F.when(swap, F.col("item_2")).otherwise(F.col("item_1")).alias("_drv"),
                            F.when(swap, F.col("item_1")).otherwise(F.col("item_2")).alias("_oth"))
     # the expanded rows carry only (driver, other, member); sizes rejoin after the count
-    expanded = oriented.join(ebk.select(F.col("item_id").alias("_drv"), F.col(member).alias("_m")), "_drv")
-    # (item, member) is unique, so hashing the basket side per partition is
-    # skew-free and spares sorting the much larger expanded side. Throughout,
-    # the shuffle_hash hint goes on sides whose join key is unique.
-    probe = ebk.select(F.col("item_id").alias("_oth"), F.col(member).alias("_m")).hint("shuffle_hash")
+    oriented = reliable_checkpoint(oriented)       # its hot drivers are counted, then it is joined
+    expanded = blocked_join(oriented, ebk.select(F.col("item_id").alias("_drv"), F.col(member).alias("_m")),
+                            "_drv")
+    probe = ebk.select(F.col("item_id").alias("_oth"), F.col(member).alias("_m"))
     shared = expanded.join(probe, ["_oth", "_m"], "left_semi")
     overlap = (shared.groupBy("_drv", "_oth").agg(F.count(F.lit(1)).alias("_k"))
                      .select(F.least("_drv", "_oth").alias("item_1"), F.greatest("_drv", "_oth").alias("item_2"), "_k")

@@ -20,8 +20,8 @@ from ..functions.constants import PAIR_BLOCK_SIZE
 
 
 def pairs_in_groups(df: DataFrame, group_cols: Sequence[str], item_col: str,
-                    carry_cols: Sequence[str] = (), block_size: int = PAIR_BLOCK_SIZE,
-                    keep_group: bool = False) -> DataFrame:
+                    carry_cols: Sequence[str] = (),
+                    block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
     """Pairs ``(item_1, item_2[, carry_1, carry_2 ...])`` with item_1 < item_2.
 
     ``df`` must hold each (group, item) at most once. Carried columns come out
@@ -54,6 +54,29 @@ def pairs_in_groups(df: DataFrame, group_cols: Sequence[str], item_col: str,
     for c in carry_cols:
         out.append(F.when(first_left, F.col("_l_" + c)).otherwise(F.col("_r_" + c)).alias(c + "_1"))
         out.append(F.when(first_left, F.col("_r_" + c)).otherwise(F.col("_l_" + c)).alias(c + "_2"))
-    if keep_group:
-        out = [F.col(c) for c in group_cols] + out
     return joined.select(*out)
+
+
+def blocked_join(left: DataFrame, right: DataFrame, key: str,
+                 block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
+    """Inner join on column ``key`` in which no task sees a whole hot key.
+
+    A key with more than ``block_size`` rows on either side is cut into hash blocks
+    on both sides; each pair of blocks is a join key of its own, so a task makes at
+    most about block_size^2 of the key's rows. Other keys have one block.
+    """
+    sizes = (left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
+             .join(right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr")), key))
+    hot = sizes.where((F.col("_nl") > block_size) | (F.col("_nr") > block_size)).select(
+        key, F.ceil(F.col("_nl") / block_size).cast("int").alias("_bl"),
+        F.ceil(F.col("_nr") / block_size).cast("int").alias("_br"))
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        one = F.lit(1)
+        at = side.join(hot, key, "left")
+        return (at.withColumn("_own", F.pmod(F.xxhash64(*side.columns), F.coalesce(own, one)).cast("int"))
+                  .withColumn("_other", F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1)))
+                  .drop("_bl", "_br").withColumnsRenamed({"_own": f"{own}_at", "_other": f"{other}_at"}))
+
+    both = dealt(left, "_bl", "_br").join(dealt(right, "_br", "_bl"), [key, "_bl_at", "_br_at"])
+    return both.drop("_bl_at", "_br_at")

@@ -9,7 +9,7 @@ is the full member self-join, not the prefix filter).
 from __future__ import annotations
 
 from ..functions.constants import (BUCKET_MOD, DEFAULT_STARS, HASH_SEED, NUM_BANDS, NUM_HASHES,
-                                   THRESHOLD, ZERO_WEIGHT_EPS, band_rows, hash_constants)
+                                   SIGNED_ZERO_EPS, THRESHOLD, band_rows, hash_constants)
 
 D = "CAST({} AS DOUBLE)"
 
@@ -146,8 +146,8 @@ def _final(cfp: str, rounded: bool = True) -> str:
 FROM lab l LEFT JOIN {cfp} p ON p.user_id = l.user_id AND p.item_id = l.item_id"""
 
 
-def _zero(den: str) -> str:
-    return f"({den} IS NULL OR abs({den}) < {ZERO_WEIGHT_EPS!r})"
+def _zero(den: str, signed: bool = False) -> str:
+    return f"({den} IS NULL OR {f'abs({den}) < {SIGNED_ZERO_EPS!r}' if signed else f'{den} = 0'})"
 
 
 def _clamp(x: str) -> str:
@@ -190,7 +190,7 @@ def item_cf_sql(weighting: str = "abs", candidates: bool = False, mode: str = "f
              f"""isums AS (SELECT g.user_id, g.item_id, sum(g.r_uj * {wexpr}) AS num, sum({wexpr}) AS den
   FROM {neigh} g JOIN iw w ON w.item_id = g.item_id AND w.neighbour_item = g.neighbour_item GROUP BY 1, 2)""",
              f"""icf AS (SELECT user_id, item_id,
-    CASE WHEN {_zero('den')} THEN {D.format(DEFAULT_STARS)} ELSE {_clamp('num / den')} END AS cfp FROM isums)"""]
+    CASE WHEN {_zero('den', weighting != 'abs')} THEN {D.format(DEFAULT_STARS)} ELSE {_clamp('num / den')} END AS cfp FROM isums)"""]
     return _with(*ctes) + _final("icf")
 
 
@@ -215,7 +215,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT tp, n_out - tp AS fp, n_truth - tp AS fn,
   CASE WHEN n_out = 0 THEN NULL ELSE CAST(tp AS DOUBLE) / n_out END AS precision,
   CASE WHEN n_truth = 0 THEN NULL ELSE CAST(tp AS DOUBLE) / n_truth END AS recall FROM c""")
-    q["item_jaccard_exact"] = (_with(RATINGS, TRAIN, TRAIN_BASKETS, *_exact_pairs("tb", "ex"))
+    q["item_jaccard_exact"] = (_with(RATINGS, TRAIN, TRAIN_BASKETS, *_exact_pairs("tb", "ex", 0.1))
                                + "SELECT * FROM ex")
     q["lsh_candidates_train"] = _with(RATINGS, TRAIN, TRAIN_BASKETS, *_candidates("tb", "cand")) + "SELECT * FROM cand"
     q["user_means"] = (_with(RATINGS, TRAIN)
@@ -236,4 +236,21 @@ FROM neigh g JOIN ist s ON s.item_id = g.item_id AND s.neighbour_item = g.neighb
   CAST(sum(CASE WHEN p.prediction IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing,
   round(avg(pow(t.stars - p.prediction, 2)), 6) AS mse, round(sqrt(avg(pow(t.stars - p.prediction, 2))), 6) AS rmse
 FROM test_pairs t LEFT JOIN pred p ON p.user_id = t.user_id AND p.item_id = t.item_id""")
+    q["rating_metrics_duplicates"] = _with(RATINGS, HOLDOUT, TEST) + """, t AS (
+  SELECT user_id, item_id, max(stars) AS stars FROM (
+    SELECT user_id, item_id, stars FROM test_pairs UNION ALL SELECT user_id, item_id, stars - 1 FROM test_pairs)
+  GROUP BY 1, 2),
+p AS (SELECT DISTINCT user_id, item_id, 2.5::DOUBLE + user_id % 2 AS prediction FROM test_pairs
+      WHERE item_id % 7 <> 0)
+SELECT count(*) AS n, count(*) FILTER (prediction IS NULL) AS n_missing,
+  round(avg(pow(stars - prediction, 2)), 6) AS mse, round(sqrt(avg(pow(stars - prediction, 2))), 6) AS rmse
+FROM t LEFT JOIN p USING (user_id, item_id)"""
+    q["ratings_text_parse"] = _with(RATINGS) + """SELECT '"u' || user_id AS user_id,
+  'b' || item_id || '"' AS item_id, stars FROM ratings"""
+    q["als_codes"] = _with(RATINGS, TRAIN) + """SELECT DISTINCT 'user' AS kind, user_id AS id,
+  dense_rank() OVER (ORDER BY user_id) AS code FROM train
+UNION ALL SELECT DISTINCT 'item', item_id, dense_rank() OVER (ORDER BY item_id) FROM train"""
+    q["als_coverage"] = _with(*CF_BASE) + """SELECT user_id, item_id,
+  user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train) AS predicted
+FROM test_pairs"""
     return q

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from ..operators import als, cf, evaluate, jaccard, minhash, ranking
 from ..sources import fixtures as fx
 from ..session import reliable_checkpoint
-from ..sources.ratings import dedupe_ratings
-from .jobs import item_baskets
+from ..sources.ratings import RATING_NAMES, as_ratings, dedupe_ratings, parse_lines
+from .jobs import item_bands, item_baskets
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
+ITEM_THRESHOLD = 0.1            # part pairs of the test tables reach about 0.15
 
 
 def _r(c: str) -> F.Column:
@@ -72,12 +73,14 @@ def q_similar_items_lsh(spark, d):
 
 
 def q_lsh_pair_metrics(spark, d):
-    lsh, exact = minhash.lsh_and_exact(_doc_baskets(spark, d))
-    return evaluate.pair_metrics(lsh, exact)
+    bk = _doc_baskets(spark, d)
+    ebk = jaccard.encode_baskets(bk)
+    return evaluate.pair_metrics(minhash.similar_items(bk, method="lsh", ebk=ebk),
+                                 jaccard.exact_similar_pairs(bk, ebk=ebk))
 
 
 def q_item_jaccard_exact(spark, d):
-    return jaccard.exact_similar_pairs(item_baskets(_train(spark, d)))
+    return jaccard.exact_similar_pairs(item_baskets(_train(spark, d)), threshold=ITEM_THRESHOLD)
 
 
 def q_lsh_candidates_train(spark, d):
@@ -114,9 +117,8 @@ def q_item_cf_amplified(spark, d):
 
 def _lsh_item_cf(spark, d, weighting, mode):
     train = reliable_checkpoint(_train(spark, d))      # feeds both LSH and CF
-    cand = minhash.lsh_candidates(item_baskets(train))
-    return _rounded(cf.predict_item_cf(train, fx.test_pairs(spark, d), candidates=cand,
-                                       weighting=weighting, lsh_mode=mode))
+    return _rounded(cf.predict_item_cf(train, fx.test_pairs(spark, d), weighting=weighting,
+                                       lsh_mode=mode, bands=item_bands(train)))
 
 
 def q_item_cf_lsh_filter(spark, d):
@@ -141,6 +143,32 @@ def q_rating_metrics_user_cf(spark, d):
     return m.select("n", "n_missing", _r("mse"), _r("rmse"))
 
 
+def q_rating_metrics_duplicates(spark, d):
+    """Truth and predictions that hold every key twice, with a lower value the second time."""
+    test = fx.test_pairs(spark, d)
+    truth = test.unionByName(test.withColumn("stars", F.col("stars") - 1))
+    pred = test.withColumn("prediction", F.lit(2.5) + F.col("user_id") % 2).where("item_id % 7 != 0")
+    pred = pred.unionByName(pred.withColumn("prediction", F.lit(0.0)))
+    m = evaluate.rating_metrics(truth, pred)
+    return m.select("n", "n_missing", _r("mse"), _r("rmse"))
+
+
+def q_ratings_text_parse(spark, d):
+    """The ratings as text lines, read by the reader's own code."""
+    return as_ratings(parse_lines(fx.ratings_text(spark, d), RATING_NAMES, fx.HEADER))
+
+
+def q_als_codes(spark, d):
+    users, items = als.als_codes(_train(spark, d))
+    named = [c.select(F.lit(kind).alias("kind"), F.col(i).alias("id"), F.col(k).alias("code"))
+             for c, kind, i, k in ((users, "user", "user_id", "_u"), (items, "item", "item_id", "_i"))]
+    return named[0].unionByName(named[1])
+
+
+def q_als_coverage(spark, d):
+    return als.als_coverage(_train(spark, d), fx.test_pairs(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "ratings_scan": q_ratings_scan,
     "item_user_counts": q_item_user_counts,
@@ -164,4 +192,8 @@ QUERIES: dict[str, Query] = {
     "als_predictions": q_als_predictions,
     "als_mse": q_als_mse,
     "rating_metrics_user_cf": q_rating_metrics_user_cf,
+    "rating_metrics_duplicates": q_rating_metrics_duplicates,
+    "ratings_text_parse": q_ratings_text_parse,
+    "als_codes": q_als_codes,
+    "als_coverage": q_als_coverage,
 }

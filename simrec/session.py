@@ -27,6 +27,7 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # drop checkpoint files once their DataFrame is unreachable
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
@@ -60,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"spark.checkpoint.dir is not set, and {sc.master} has no common local folder")
         configured = tempfile.mkdtemp(prefix="simrec-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -69,7 +72,10 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     """Settings every job here relies on, applied to a caller's session:
     no plan-time auto-broadcast (file-size estimates of exploded text are far
     below the real size), broadcast left to AQE's measured sizes, and a
-    checkpoint folder."""
+    checkpoint folder whose files go when their DataFrame does. The settings stay
+    on the session."""
+    # a core setting, read from the live configuration whenever a checkpoint is made
+    spark.sparkContext._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) in (None, "", "-1"):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")

@@ -2,15 +2,14 @@
 
 * ``ratings(user_id, item_id, stars)``: customers rating parts they ordered;
   stars = max over their order lines of 1 + floor(quantity) mod 5.
-* ``train`` / ``holdout``: a deterministic hash split of ``ratings`` on
-  h = (31*user_id + 17*item_id) mod 20: holdout is h = 0, train the rest.
+* ``train``: a deterministic hash split of ``ratings`` on
+  h = (31*user_id + 17*item_id) mod 20: the holdout is h = 0, train the rest.
 * ``test_pairs``: every holdout row (unseen pairs), every ratings row with
   h = 1 (seen pairs, also in train), and two cold copies of every holdout row:
   one with user id -1-user_id (unknown user), one with item -1-item_id
   (unknown item). So all four prediction branches occur, on whole tables.
 * ``doc_words(item_id, member_id)``: distinct non-empty words of each
   document's lower-cased text split on whitespace (whole texts).
-* ``supp_ratings``: as ``ratings`` with the supplier as item.
 """
 
 from __future__ import annotations
@@ -25,21 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _ratings_by(spark: SparkSession, sf_dir: str, item_col: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", item_col, "l_quantity")
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     star = F.lit(1) + F.pmod(F.floor("l_quantity").cast("int"), F.lit(5))
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-              .groupBy(F.col("o_custkey").alias("user_id"), F.col(item_col).alias("item_id"))
+              .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
               .agg(F.max(star).cast("double").alias("stars")))
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ratings_by(spark, sf_dir, "l_partkey")
+HEADER = "user_id,business_id,stars"
 
 
-def supp_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ratings_by(spark, sf_dir, "l_suppkey")
+def ratings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ratings`` as the lines of a text file, with stray quotes in ids and the header
+    repeated after every 97th user."""
+    line = F.concat(F.lit('"u'), F.col("user_id"), F.lit(",b"), F.col("item_id"), F.lit('",'), F.col("stars"))
+    again = F.when(F.col("user_id") % 97 == 0, F.array(line, F.lit(HEADER))).otherwise(F.array(line))
+    return ratings(spark, sf_dir).select(F.explode(again).alias("value"))
 
 
 def _split_key() -> F.Column:
@@ -50,10 +52,6 @@ def train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings(spark, sf_dir).where(_split_key() != 0)
 
 
-def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings(spark, sf_dir).where(_split_key() == 0)
-
-
 def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = ratings(spark, sf_dir)
     hold = r.where(_split_key() == 0)
@@ -63,23 +61,8 @@ def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hold.unionByName(seen).unionByName(cold_user).unionByName(cold_item)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields
-    fewer splits than cores (one big row group); a no-op at scale, where a
-    table has far more splits than cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = docs.select(F.col("doc_id").alias("item_id"),
                         F.explode(F.split(F.lower(F.col("text")), r"\s+")).alias("member_id"))
     return words.where(F.col("member_id") != "").distinct()
-
-
-def item_user_table(df: DataFrame) -> DataFrame:
-    """Ratings seen as baskets: item -> set of users (the task-1 input shape)."""
-    return df.select("item_id", F.col("user_id").alias("member_id"))

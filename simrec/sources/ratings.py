@@ -1,9 +1,9 @@
 """Readers and writers for rating / pair / prediction tables.
 
-Files are read by column *position* (user, item, stars), as the original
-comma-separated inputs carry no reliable header names. The first line is the
-header; any later line equal to it is dropped as well. CSV and parquet are
-accepted through the same call.
+Text files are read line by line and cut at every comma: there is no quoting, and
+values are taken as they stand (nothing is trimmed). Columns go by *position* (user,
+item, stars). The first line is the header; every line equal to it is dropped.
+Parquet is accepted through the same call.
 """
 
 from __future__ import annotations
@@ -13,46 +13,47 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RATING_NAMES = ("user_id", "item_id", "stars")
+PAIR_NAMES = ("item_1", "item_2", "similarity")
+
+
+def parse_lines(lines: DataFrame, names: Sequence[str], header: str) -> DataFrame:
+    """String columns ``names`` from the lines in column ``value``; missing fields are
+    null, further ones are ignored, and lines equal to ``header`` are dropped."""
+    parts = lines.where(F.col("value") != F.lit(header)).select(F.split("value", ",").alias("p"))
+    return parts.select(*[F.get("p", i).alias(n) for i, n in enumerate(names)])
+
 
 def _read_positional(spark: SparkSession, path: str, names: Sequence[str], fmt: str | None) -> DataFrame:
     fmt = fmt or ("parquet" if str(path).rstrip("/").endswith(".parquet") else "csv")
     if fmt == "parquet":
         raw = spark.read.parquet(path)
-        return raw.select(*[F.col(c).alias(n) for c, n in zip(raw.columns, names)])
-    # all-string read: the header row names the columns; a repeated header in
-    # the body is recognised by value, exactly like the first line
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    cols = raw.columns
-    repeated = F.lit(True)
-    for c in cols:
-        repeated = repeated & (F.col(f"`{c}`") == F.lit(c))
-    body = raw.where(~F.coalesce(repeated, F.lit(False)))
-    return body.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(cols, names)])
+        have = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(raw.columns, names)]
+        return raw.select(*have, *[F.lit(None).cast("string").alias(n) for n in names[len(have):]])
+    lines = spark.read.text(path)
+    first = lines.first()
+    return parse_lines(lines, names, first.value if first else "")
 
 
-def read_ratings(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def as_ratings(fields: DataFrame) -> DataFrame:
     """``(user_id STRING, item_id STRING, stars DOUBLE)``; stars NULL if absent or unparsable."""
-    df = _read_positional(spark, path, ["user_id", "item_id", "stars"], fmt)
-    if "stars" not in df.columns:
-        df = df.withColumn("stars", F.lit(None))
-    return df.select(F.trim(F.col("user_id").cast("string")).alias("user_id"),
-                     F.trim(F.col("item_id").cast("string")).alias("item_id"),
-                     F.trim(F.col("stars").cast("string")).try_cast("double").alias("stars"))
+    return fields.select("user_id", "item_id", F.col("stars").try_cast("double").alias("stars"))
+
+
+def read_ratings(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    return as_ratings(_read_positional(spark, path, RATING_NAMES, fmt))
 
 
 def read_pairs(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Similar-pair file → distinct ``(item_1, item_2)``; further columns ignored."""
-    df = _read_positional(spark, path, ["item_1", "item_2", "similarity"], fmt)
-    return (df.select(F.trim(F.col("item_1").cast("string")).alias("item_1"),
-                      F.trim(F.col("item_2").cast("string")).alias("item_2"))
-              .distinct())
+    return _read_positional(spark, path, PAIR_NAMES, fmt).select("item_1", "item_2").distinct()
 
 
 def dedupe_ratings(df: DataFrame, rule: str = "max") -> DataFrame:
     """One rating per (user, item). The original keeps an arbitrary one of
-    duplicate rows; we fix the rule (``max``, ``min`` or ``avg``) so results
-    do not depend on partition order. Rows without stars are dropped."""
-    agg = {"max": F.max, "min": F.min, "avg": F.avg}[rule]
+    duplicate rows; we fix the rule (``max`` or ``min``) so results do not
+    depend on partition order. Rows without stars are dropped."""
+    agg = {"max": F.max, "min": F.min}[rule]
     return (df.where(F.col("stars").isNotNull() & F.col("user_id").isNotNull()
                      & F.col("item_id").isNotNull())
               .groupBy("user_id", "item_id").agg(agg("stars").cast("double").alias("stars")))
@@ -64,14 +65,14 @@ def write_pairs(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (df.select(F.col("item_1").alias("business_id_1"), F.col("item_2").alias("business_id_2"),
                "similarity")
        .orderBy("business_id_1", "business_id_2")
-       .write.mode(mode).option("header", True).csv(path))
+       .write.mode(mode).option("header", True).option("quote", "").csv(path))
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Predictions as CSV with header ``user_id,business_id,prediction``."""
     (df.select("user_id", F.col("item_id").alias("business_id"), "prediction")
-       .write.mode(mode).option("header", True).csv(path))
+       .write.mode(mode).option("header", True).option("quote", "").csv(path))
 
 
 def write_metrics(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    df.coalesce(1).write.mode(mode).option("header", True).option("quote", "").csv(path)

@@ -2,18 +2,20 @@
 ratings with a hot item rated by every user, seen, cold and no-neighbour pairs."""
 import math
 import random
+from fractions import Fraction
 
 import pytest
 
-from simrec.operators import cf
+from simrec.operators import cf, pairs
 
 
 def _weight(xs, ys):
     n = len(xs)
+    xs, ys = [Fraction(str(x)) for x in xs], [Fraction(str(y)) for y in ys]
     mx, my = sum(xs) / n, sum(ys) / n
     d1 = sum((x - mx) * (y - my) for x, y in zip(xs, ys))
     d2 = math.sqrt(sum((x - mx) ** 2 for x in xs)) + math.sqrt(sum((y - my) ** 2 for y in ys))
-    return None if d2 == 0 else d1 / d2, my
+    return None if d2 == 0 else float(d1) / d2, float(my)
 
 
 def _clamp(x):
@@ -40,7 +42,7 @@ def brute_user(train, u, i):
         w = 0.5 if r is None else r
         num += (rv[i] - my) * w
         den += abs(w)
-    if abs(den) < 1e-12:
+    if den == 0:
         return 2.5
     mean = sum(by_user[u].values()) / len(by_user[u])
     return _clamp(mean + num / den)
@@ -78,29 +80,31 @@ def brute_item(train, u, i, weighting="abs", cands=None, mode="filter"):
             w = w * abs(w) ** 0.5
         num += rj[u] * w
         den += w
-    if abs(den) < 1e-12:
+    if den == 0 or weighting == "amplified" and abs(den) < 1e-12:
         return 2.5
     return _clamp(num / den)
 
 
-def _data(seed):
+def _data(seed, star=lambda n: float(n)):
     rnd = random.Random(seed)
     users = [f"u{k}" for k in range(14)]
     items = [f"i{k}" for k in range(12)]
     train = {}
     for u in users:
         for i in rnd.sample(items, rnd.randint(1, 6)):
-            train[(u, i)] = float(rnd.randint(1, 5))
-        train[(u, "hot")] = float(rnd.randint(1, 5))        # every user rates the hot item
+            train[(u, i)] = star(rnd.randint(1, 5))
+        train[(u, "hot")] = star(rnd.randint(1, 5))        # every user rates the hot item
     train[("loner", "solo")] = 3.0                           # shares nothing with anyone
     test = [(u, i) for u in users + ["loner", "ghost"] for i in items + ["hot", "solo", "nothing"]]
     cands = [(a, b) for a, b in zip(items, items[1:]) if rnd.random() < 0.6] + [("hot", items[0])]
     return train, test, cands
 
 
-@pytest.mark.parametrize("seed", [11, 12])
-def test_cf_variants_match_brute_force(spark, seed):
-    train, test, cands = _data(seed)
+@pytest.mark.parametrize("seed,star,block", [(11, float, 4096), (12, lambda n: n / 10, 3)])
+def test_cf_variants_match_brute_force(spark, monkeypatch, seed, star, block):
+    """Whole stars, and tenths (not exact as doubles) with hot keys cut into tiny blocks."""
+    monkeypatch.setattr(pairs.blocked_join, "__defaults__", (block,))
+    train, test, cands = _data(seed, star)
     tdf = spark.createDataFrame([(u, i, s) for (u, i), s in train.items()], "user_id string, item_id string, stars double")
     qdf = spark.createDataFrame([(u, i, 0.0) for u, i in test], "user_id string, item_id string, stars double")
     cdf = spark.createDataFrame(cands, "item_1 string, item_2 string")

@@ -9,11 +9,11 @@ def test_read_ratings_repeated_header_missing_stars(spark):
     d = tempfile.mkdtemp(prefix="simrec-io-")
     with open(f"{d}/r.csv", "w") as f:
         f.write("user_id,business_id,stars\n")
-        f.write("u1,b1,4.0\nuser_id,business_id,stars\nu22222,bb2,3\nu3,b3\n u4 , b4 , 2.5\n")
+        f.write("u1,b1,4.0\nuser_id,business_id,stars\nu22222,bb2,3\nu3,b3\n u4 , b4 , 2.5\nu5,\"b5,5\n")
     df = io.read_ratings(spark, f"{d}/r.csv")
     rows = sorted(tuple(r) for r in df.collect())
-    assert rows == [("u1", "b1", 4.0), ("u22222", "bb2", 3.0), ("u3", "b3", None), ("u4", "b4", 2.5)]
-    assert io.dedupe_ratings(df).count() == 3
+    assert rows == [(" u4 ", " b4 ", 2.5), ("u1", "b1", 4.0), ("u22222", "bb2", 3.0), ("u3", "b3", None), ("u5", '"b5', 5.0)]
+    assert io.dedupe_ratings(df).count() == 4
 
 
 def test_pairs_round_trip_and_self_metrics(spark):
@@ -51,3 +51,41 @@ def test_rating_metrics_counts_missing(spark):
                                  "user_id string, item_id string, prediction double")
     m = evaluate.rating_metrics(truth, pred).collect()[0]
     assert (m.n, m.n_missing) == (3, 1) and m.mse == 2.5 and abs(m.rmse - 2.5 ** 0.5) < 1e-12
+
+
+def test_rating_metrics_reduce_both_sides_to_keys(spark):
+    truth = spark.createDataFrame([("u", "a", 4.0), ("u", "a", 4.0), ("u", "b", 1.0)],
+                                  "user_id string, item_id string, stars double")
+    pred = spark.createDataFrame([("u", "a", 5.0), ("u", "a", 5.0), ("u", "b", 3.0)],
+                                 "user_id string, item_id string, prediction double")
+    m = evaluate.rating_metrics(truth, pred).collect()[0]
+    assert (m.n, m.n_missing, m.mse) == (2, 0, 2.5)
+    m = evaluate.rating_metrics(truth.limit(0), pred).collect()[0]
+    assert (m.n, m.n_missing, m.mse, m.rmse) == (0, 0, None, None)
+
+
+def test_empty_file(spark):
+    d = tempfile.mkdtemp(prefix="simrec-io-")
+    open(f"{d}/e.csv", "w").close()
+    assert io.read_ratings(spark, f"{d}/e.csv").count() == 0
+
+
+def test_quotes_survive_a_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="simrec-io-")
+    pairs = spark.createDataFrame([('"a', 'b"', 0.5), ("'c", '""', 0.7)],
+                                  "item_1 string, item_2 string, similarity double")
+    io.write_pairs(pairs, f"{d}/out")
+    assert {tuple(r) for r in io.read_pairs(spark, f"{d}/out").collect()} == {('"a', 'b"'), ("'c", '""')}
+
+
+def test_pairs_are_written_in_order(spark):
+    """Rows go by the pair; ids of unequal length by code points, column after column."""
+    d = tempfile.mkdtemp(prefix="simrec-io-")
+    rows = [(f"b{i}", f"c{(i * 37) % 101}", 0.5) for i in range(200)] + [("b1", "b10", 0.6), ("b", "z", 0.6)]
+    io.write_pairs(spark.createDataFrame(rows, "item_1 string, item_2 string, similarity double")
+                        .repartition(5), f"{d}/out")
+    import glob
+    lines = []
+    for part in sorted(glob.glob(f"{d}/out/part-*")):
+        lines += [x.split(",")[:2] for x in open(part).read().splitlines()[1:]]
+    assert lines == sorted([a, b] for a, b, _ in rows)

@@ -55,3 +55,20 @@ def test_command_line_jobs(spark):
         main(["predict", f"{d}/train.csv", f"{d}/test.csv", case, f"{d}/pred{case}"])
         r = jobs.evaluate_predictions_files(spark, f"{d}/test.csv", f"{d}/pred{case}").collect()[0]
         assert (r.n, r.n_missing) == (4, 0)
+
+
+def test_command_line_variants(spark):
+    """The flags reach the operators: equal to the functions called with the same options."""
+    from simrec.__main__ import main
+
+    d = _files()
+    train, test = (io.read_ratings(spark, f"{d}/{n}.csv") for n in ("train", "test"))
+    for weighting, mode in (("amplified", "filter"), ("amplified", "reweight"), ("abs", "reweight")):
+        main(["predict", f"{d}/train.csv", f"{d}/test.csv", "4", f"{d}/out",
+              "--weighting", weighting, "--lsh-mode", mode])
+        want = jobs.predict(train, test, "item_cf_lsh", weighting=weighting, lsh_mode=mode)
+        got = io.read_ratings(spark, f"{d}/out")
+        assert sorted(map(tuple, got.collect())) == sorted(
+            map(tuple, want.select("user_id", "item_id", "prediction").collect()))
+    main(["predict", f"{d}/train.csv", f"{d}/test.csv", "1", f"{d}/als", "--keep-duplicates"])
+    assert io.read_ratings(spark, f"{d}/als").count() == 3

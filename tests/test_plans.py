@@ -1,25 +1,54 @@
-"""Physical-plan audit of every registered query (sf0.001): no cartesian or
-nested-loop joins, no Python UDF, scans read only the needed columns."""
+"""Audit of every plan that a registered query runs (sf0.001), also the parts before a
+checkpoint: no cartesian or nested-loop joins, no Python UDF, scans read only the needed
+columns, and LSH forms bucket pairs only where those are the result."""
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
-import __spark_entry__ as entry
 from conftest import SF0001
+from simrec.plans.queries import QUERIES
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "MapInArrow", "MapInPandas")
+BUCKET_PAIRS = {"lsh_candidates", "lsh_candidates_train"}
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_plan_has_no_cross_join_or_udf(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF0001))
-    for word in FORBIDDEN:
-        assert word not in plan, (name, word)
-    # the documents scan never reads more than the id and the text
-    for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
-        if "text:" in schema:
-            assert set(f.split(":")[0] for f in schema.split(",")) <= {"doc_id", "text"}
+@pytest.fixture
+def plans(monkeypatch):
+    seen = []
+    def audited(self, *a, **b):
+        seen.append(_plan(self))
+        return checkpoint(self, *a, **b)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", audited)
+    return seen
+
+
+def _columns(plan):
+    return [set(f.split(":")[0] for f in s.split(",")) for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+            if "text:" in s]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plans(spark, plans, name):
+    plans.append(_plan(QUERIES[name](spark, SF0001)))
+    for plan in plans:
+        for word in FORBIDDEN:
+            assert word not in plan, (name, word)
+        for columns in _columns(plan):
+            assert columns <= {"doc_id", "text"}
+    if name in ("exact_jaccard_pairs", "lsh_candidates", "similar_items_lsh"):
+        assert any(map(_columns, plans)), "no documents scan was seen"
+    if name not in BUCKET_PAIRS:
+        assert not any(re.search(r"bucket#\d+.*_pg_blk", plan) for plan in plans), "bucket pairs"
+
+
+def test_the_column_check_sees_an_added_column(spark, plans):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    docs.select("doc_id", "text", "source").checkpoint()
+    assert not all(c <= {"doc_id", "text"} for plan in plans for c in _columns(plan))
