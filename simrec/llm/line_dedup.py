@@ -14,8 +14,9 @@ word are kept.
    before it, under several of its tokens. This decides the members of a group of n
    near copies with n pairs instead of n^2.
 4. Lines that are still undecided meet all earlier lines under their tokens, through
-   length and positional filters; a pair must share as many prefix tokens as its
-   overlap requires. Survivors are verified on the words themselves.
+   length and positional filters; the prefix tokens that a pair shares, and what can
+   follow the last of them, must reach the overlap. Survivors are verified on the
+   words themselves.
 
 Edge cases: null texts have no lines and stay null; blank lines stay; rows that
 agree in id and text are one document (their lines do not remove each other);
@@ -129,9 +130,11 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def _led(posted: DataFrame) -> DataFrame:
     """Step 3: for each line the earlier line that leads or precedes it most often."""
-    probes = F.array(F.struct(F.col("lead_pos").alias("y"), F.col("lead_m").alias("my")),
-                     F.struct(F.col("prev_pos").alias("y"), F.col("prev_m").alias("my")))
-    some = posted.where(F.col("k") % _PROBE == 0).select("pos", "m", F.explode(probes).alias("c"))
+    w = Window.partitionBy("tok").orderBy("pos")
+    line = F.struct(F.col("pos").alias("y"), F.col("m").alias("my"))
+    first = F.first(line).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    probes = posted.select("pos", "m", "k", F.array(first, F.lag(line).over(w)).alias("c"))
+    some = probes.where(F.col("k") % _PROBE == 0).select("pos", "m", F.explode("c").alias("c"))
     some = some.select(F.col("pos").alias("x"), "c.y", "m", "c.my").where(
         (F.col("y") < F.col("x")) & _near_sizes(F.col("m"), F.col("my")))
     counts = (some.repartition("x").groupBy("x", "y", "m").agg(F.count(F.lit(1)).alias("c"))
@@ -146,12 +149,15 @@ def _met(posted: DataFrame, decided: DataFrame) -> DataFrame:
         "tok", F.col("pos").alias("x"), F.col("m").alias("mx"), F.col("k").alias("kx"))
     b = posted.select("tok", F.col("pos").alias("y"), F.col("m").alias("my"), F.col("k").alias("ky"))
     mx, my, kx, ky = map(F.col, ("mx", "my", "kx", "ky"))
-    can_reach = F.least(kx, ky) + F.least(mx - kx, my - ky) >= _overlap(mx, my)
+    after = F.least(mx - kx, my - ky) - 1          # common tokens possible after this one
+    can_reach = F.least(kx, ky) + 1 + after >= _overlap(mx, my)
     met = a.join(b, "tok").where((F.col("y") < F.col("x")) & _near_sizes(mx, my) & can_reach)
-    # the lines' tokens after the shorter-reaching prefix can add no more than these
-    rest = F.greatest(mx - _prefix_size(mx), my - _prefix_size(my))
-    return (met.groupBy("x", "y", "mx", "my").agg(F.count(F.lit(1)).alias("c"))
-               .where(F.col("c") >= _overlap(mx, my) - rest).select("x", "y"))
+    # c common prefix tokens, and after the last of them, or after the prefixes, no more than
+    # the smallest rest: together they must reach the overlap
+    rest = F.least(after, F.greatest(mx - _prefix_size(mx), my - _prefix_size(my)))
+    met = met.select("x", "y", (rest - _overlap(mx, my)).cast("int").alias("lack"))
+    return (met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"), F.min("lack").alias("lack"))
+               .where("c + lack >= 0").select("x", "y"))
 
 
 def removed_lines(docs: DataFrame, text: Column) -> DataFrame:
@@ -169,12 +175,10 @@ def removed_lines(docs: DataFrame, text: Column) -> DataFrame:
 
     n = shuffle_partitions(docs.sparkSession)
     w = Window.partitionBy("tok").orderBy("pos")
-    first = lambda c: F.first(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
     posted = (_postings(firsts, _rarity(docs, text)).repartition(n, "tok")
-              .select("tok", "pos", "m", "k", first("pos").alias("lead_pos"), first("m").alias("lead_m"),
-                      F.lag("pos").over(w).alias("prev_pos"), F.lag("m").over(w).alias("prev_m"),
-                      F.lead("pos").over(w).alias("next_pos"))
-              .where("prev_pos is not null or next_pos is not null").drop("next_pos"))
+              .select("tok", "pos", "m", "k", F.lag("pos").over(w).alias("before"),
+                      F.lead("pos").over(w).alias("after"))
+              .where("before is not null or after is not null").drop("before", "after"))
     with SharedTable(posted, "tok", n, "pos") as posted:
         led = checkpoint(_verified(_led(posted), lines))
         met = _verified(_met(posted, small_side(led.select(F.col("x").alias("_d")))), lines)
