@@ -17,7 +17,7 @@ from pathlib import Path
 
 import numpy as np
 
-BLOCK = 40
+BLOCK = 80
 _COLUMNS = (("first", np.int32), ("rest", np.int32), ("lcp", np.uint8), ("suffix", np.int32))
 
 
@@ -67,24 +67,44 @@ class _RangeMin:
         return out
 
 
-def _ranked(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Dense ranks of the pairs (high, low)."""
-    return np.unique((high << np.int64(32)) | low, return_inverse=True)[1]
+def _dense(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense ranks, and for every rank one position that has it."""
+    order = np.argsort(codes)
+    ordered = codes[order]
+    new = np.concatenate((np.ones(1, bool), ordered[1:] != ordered[:-1]))
+    rank = np.empty(len(codes), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return rank, order[new]
+
+
+def _block_hash(word: np.ndarray, n: int) -> np.ndarray:
+    code = np.zeros(n, np.uint64)
+    for i in range(0, BLOCK, 8):
+        code = (code ^ word[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        code ^= code >> np.uint64(29)
+    return code
 
 
 def _symbols(flat: np.ndarray) -> np.ndarray:
-    """Dense symbol of the block at every position: blocks of 8, 16 and 32 bytes are
-    ranked from their halves, the last 8 bytes are added. Positions too near the end
-    get ranks that no document uses."""
-    n = len(flat)
+    """Dense symbol of the block at every position. Blocks are ranked by a 64-bit hash,
+    and every block is compared with its symbol's first one; should two blocks collide,
+    all are ranked again, eight bytes at a time. Positions too near the end get symbols
+    that no document uses."""
+    n, steps = len(flat), range(0, BLOCK, 8)
+    if not n:
+        return np.zeros(0, np.int64)
     padded = np.concatenate((flat, np.zeros(BLOCK, np.uint8)))
     word = np.zeros(n + BLOCK - 8, np.uint64)
     for i in range(8):
         word |= padded[i:i + len(word)].astype(np.uint64) << np.uint64(8 * i)
-    by8 = np.unique(word, return_inverse=True)[1]
-    by16 = _ranked(by8[:-8], by8[8:])
-    by32 = _ranked(by16[:-16], by16[16:])
-    return _ranked(by32[:n], by8[32:32 + n])
+    symbol, at = _dense(_block_hash(word, n))
+    if all(np.array_equal(word[i:i + n], word[at + i][symbol]) for i in steps):
+        return symbol
+    symbol = np.zeros(n, np.int64)
+    for i in steps:
+        part = _dense(word[i:i + n])[0]
+        symbol = _dense((symbol << 32) | part)[0]
+    return symbol
 
 
 def _insert(files: _Files, symbol: np.ndarray, place: np.ndarray, suffix: np.ndarray) -> np.ndarray:
@@ -137,9 +157,10 @@ def _insert(files: _Files, symbol: np.ndarray, place: np.ndarray, suffix: np.nda
     return out
 
 
-def repeated_starts(texts: list[bytes], length: int) -> list[np.ndarray]:
+def repeated_starts(texts: list[bytes], length: int, copies: list[int] | None = None) -> list[np.ndarray]:
     """For every text the positions whose next ``length`` bytes start anywhere else in
-    the collection too. ``length`` is a multiple of ``BLOCK``."""
+    the collection too. ``length`` is a multiple of ``BLOCK``; a text counts ``copies``
+    times (once by default), so all whole strings of one with more are repeated."""
     depth = length // BLOCK
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     starts = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))[:-1]
@@ -167,7 +188,11 @@ def repeated_starts(texts: list[bytes], length: int) -> list[np.ndarray]:
         done = files.read()
     deep = done["lcp"] >= depth
     deep[:-1] |= deep[1:].copy()
-    hit = done["suffix"][deep].astype(np.int64)
+    ids = done["suffix"].astype(np.int64)
+    if copies is not None:
+        doc, column = ids // max(columns, 1), ids % max(columns, 1)
+        deep |= (np.array(copies) > 1)[doc_text[doc]] & (width[doc] - column >= depth)
+    hit = ids[deep]
     doc, column = hit // max(columns, 1), hit % max(columns, 1)
     flags = np.zeros(len(flat), bool)
     flags[first_at[doc] + column * BLOCK] = True

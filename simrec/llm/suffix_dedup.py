@@ -13,7 +13,7 @@ through sequential files. Spark prepares collections that can be decided on thei
    equal ``LENGTH - WINDOW + 1`` bytes from there on, whose hash is the segment's key.
    A key that occurs once has no repeat.
 2. *Copies.* Equal segments (key and a second 64-bit hash of the whole) become one with
-   a count; two copies stand for any larger number.
+   a count, which they carry into the collection.
 3. *Hot keys* with more than ``GROUP_MAX`` different segments are split into single
    strings, keyed by 128 hash bits; equal strings become one with a count.
 4. Segments are grouped by key into shards of about ``SHARD_BYTES``, one task each.
@@ -141,24 +141,16 @@ def _runs(starts: np.ndarray) -> list[dict]:
 def _decide(texts: DataFrame) -> DataFrame:
     """``key, sig, runs``: repeated starts of the texts ``(key, sig, copies, text)``; only
     texts of equal key are compared for sure (a shard holds many keys)."""
-    weight = F.sum(F.col("copies") * F.length("text"))
-    shards = 1 + (texts.agg(weight).first()[0] or 0) // SHARD_BYTES
+    shards = 1 + (texts.agg(F.sum(F.length("text"))).first()[0] or 0) // SHARD_BYTES
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
 
     def decide(group: pa.Table) -> pa.Table:
-        ids = list(zip(group.column("key").to_pylist(), group.column("sig").to_pylist(),
-                       group.column("copies").to_pylist()))
-        texts = [t for t, (_, _, c) in zip(group.column("text").to_pylist(), ids) for _ in range(c)]
-        found = repeated_starts(texts, LENGTH)
-        rows, at = [], 0
-        for key, sig, copies in ids:
-            if len(found[at]):
-                rows.append((key, sig, _runs(found[at])))
-            at += copies
+        found = repeated_starts(group.column("text").to_pylist(), LENGTH,
+                                group.column("copies").to_pylist())
+        hit = pa.array([i for i, starts in enumerate(found) if len(starts)], pa.int64())
         kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
-        return pa.table({"key": pa.array([r[0] for r in rows], pa.int64()),
-                         "sig": pa.array([r[1] for r in rows], pa.int64()),
-                         "runs": pa.array([r[2] for r in rows], kind)})
+        return pa.table({"key": group.column("key").take(hit), "sig": group.column("sig").take(hit),
+                         "runs": pa.array([_runs(found[i]) for i in hit.to_pylist()], kind)})
 
     return (dealt.repartition(min(int(shards), 100_000), "shard").groupBy("shard")
                  .applyInArrow(decide, f"key long, sig long, runs {_RUNS}"))
@@ -167,7 +159,7 @@ def _decide(texts: DataFrame) -> DataFrame:
 def _texts_of(docs: DataFrame, segs: DataFrame) -> DataFrame:
     """``key, sig, copies, text`` of the segments ``(key, sig, copies, dn, p0, n)``."""
     want = segs.groupBy("dn").agg(F.collect_list(F.struct("key", "sig", "copies", "p0", "n")).alias("w"))
-    both = docs.join(small_side(want, F.size("w") * 4), F.col("_dn") == F.col("dn")).select("text", "w")
+    both = docs.join(want, F.col("_dn") == F.col("dn")).select("text", "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,7 +210,7 @@ def repeated_spans(docs: DataFrame, once: DataFrame) -> DataFrame:
     ``once`` (without repeated documents) have ``_dn`` and ``text``."""
     every = _all_segments(docs.select("_dn", "text"))
     keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    live = checkpoint(every.join(small_side(keys), "key"))
+    live = checkpoint(every.join(keys, "key"))
     segs = live.groupBy("key", "sig").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("copies"),
                                           F.min(F.struct("dn", "p0", "n")).alias("r"))
     segs = checkpoint(segs.select("key", "sig", "copies", "r.*"))
@@ -253,7 +245,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     f = Frame(docs)
     docs, once = (d.select("_dn", f["doc_id"].alias("doc_id"), f["text"].alias("text"))
                   for d in numbered(f))
-    spans = small_side(repeated_spans(docs, once), F.size("spans"))
+    spans = repeated_spans(docs, once)
     both = docs.join(spans, F.col("_dn") == F.col("dn"), "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

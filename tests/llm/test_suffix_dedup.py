@@ -67,3 +67,20 @@ def test_long_text_and_empty_table(make_docs, odd_rows):
     got = suffix_dedup.cut_repeats(make_docs(rows)).collect()
     assert Counter((*r[:4], bytes(r.kept)) for r in got) == _want(rows)
     assert suffix_dedup.cut_repeats(make_docs(rows).limit(0)).count() == 0
+
+
+def test_copies_count_as_repeats():
+    rng = random.Random(4)
+    texts = [bytes(rng.choices(b"ab", k=rng.randint(0, 200))) for _ in range(8)]
+    texts.append(texts[0][:150] + b"c" * 30)
+    copies = [rng.choice([1, 2]) for _ in texts]
+    twice = [t for t, c in zip(texts, copies) for _ in range(c)]
+    want = dict(zip(twice, _starts(twice, 80)))
+    got = bwt.repeated_starts(texts, 80, copies)
+    assert [x.tolist() for x in got] == [want[t] for t in texts]
+
+
+def test_colliding_block_hashes(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(bwt, "_block_hash", lambda word, n: np.zeros(n, np.uint64))
+    test_repeated_starts(3)
