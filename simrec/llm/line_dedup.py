@@ -14,7 +14,7 @@ word are kept.
    before it, under several of its tokens. This decides the members of a group of n
    near copies with n pairs instead of n^2.
 4. Lines that are still undecided meet all earlier lines under their tokens, through
-   length and positional filters; the prefix tokens that a pair shares, and what can
+   length and positional filters and a bitmap of their tokens' parities; the prefix tokens that a pair shares, and what can
    follow the last of them, must reach the overlap. Survivors are verified on the
    words themselves.
 
@@ -102,8 +102,18 @@ def _rarity(docs: DataFrame, text: Column) -> DataFrame:
     return checkpoint(order.select(F.transform(F.sort_array("o"), lambda x: x["i"]).alias("rank")))
 
 
+def _parity(hashes: str, half: int) -> Column:
+    """For 64 of 128 hash buckets, whether the number of tokens in them is odd."""
+    def flip(bits: Column, x: Column) -> Column:
+        one = F.when(F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(1)) == half, F.lit(1)).otherwise(F.lit(0))
+        at = x.bitwiseAND(F.lit(63)).cast("int")
+        return bits.bitwiseXOR(F.call_function("shiftleft", one.cast("long"), at))
+    return F.aggregate(hashes, F.lit(0).cast("long"), flip)
+
+
 def _postings(lines: DataFrame, rank: DataFrame) -> DataFrame:
-    """``tok, pos, m, k``: the k-th rarest token of a line of m tokens, prefix only."""
+    """``tok, pos, m, k, p1, p2``: the k-th rarest token of a line of m tokens, prefix only;
+    p1 and p2 hold the parity of the line's tokens in each of 128 hash buckets."""
     words = F.transform(F.split("line", f"[{WS}]+"), lambda w: F.xxhash64(w))
     rows = lines.select("pos", F.array_remove(F.array_distinct(words), F.xxhash64(F.lit(""))).alias("h"))
     rows = rows.withColumn("rank", rank.scalar())
@@ -111,9 +121,11 @@ def _postings(lines: DataFrame, rank: DataFrame) -> DataFrame:
     key = F.transform("h", lambda x: F.shiftleft(
         F.get("rank", F.pmod(x, F.lit(1 << _RARITY_BITS)).cast("int")).cast("long"), _HASH_BITS
     ).bitwiseOR(x.bitwiseAND(F.lit(low))))
-    rows = rows.select("pos", F.size("h").alias("m"), F.sort_array(key).alias("keys"))
+    rows = rows.select("pos", F.size("h").alias("m"), F.sort_array(key).alias("keys"),
+                       _parity("h", 0).alias("p1"), _parity("h", 1).alias("p2"))
     prefix = F.slice("keys", F.lit(1), _prefix_size(F.col("m")).cast("int"))
-    return rows.select("pos", "m", F.posexplode(prefix).alias("k", "tok")).select("tok", "pos", "m", "k")
+    return (rows.select("pos", "m", "p1", "p2", F.posexplode(prefix).alias("k", "tok"))
+                .select("tok", "pos", "m", "k", "p1", "p2"))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -146,12 +158,18 @@ def _led(posted: DataFrame) -> DataFrame:
 def _met(posted: DataFrame, decided: DataFrame) -> DataFrame:
     """Step 4: pairs of undecided lines and earlier lines that pass the filters."""
     a = posted.join(decided, F.col("pos") == F.col("_d"), "left_anti").select(
-        "tok", F.col("pos").alias("x"), F.col("m").alias("mx"), F.col("k").alias("kx"))
-    b = posted.select("tok", F.col("pos").alias("y"), F.col("m").alias("my"), F.col("k").alias("ky"))
+        "tok", F.col("pos").alias("x"), F.col("m").alias("mx"), F.col("k").alias("kx"),
+        F.col("p1").alias("p1x"), F.col("p2").alias("p2x"))
+    b = posted.select("tok", F.col("pos").alias("y"), F.col("m").alias("my"), F.col("k").alias("ky"),
+                      F.col("p1").alias("p1y"), F.col("p2").alias("p2y"))
     mx, my, kx, ky = map(F.col, ("mx", "my", "kx", "ky"))
     after = F.least(mx - kx, my - ky) - 1          # common tokens possible after this one
     can_reach = F.least(kx, ky) + 1 + after >= _overlap(mx, my)
-    met = a.join(b, "tok").where((F.col("y") < F.col("x")) & _near_sizes(mx, my) & can_reach)
+    # every bucket of odd difference holds a token that is not common
+    odd = (F.bit_count(F.col("p1x").bitwiseXOR(F.col("p1y")))
+           + F.bit_count(F.col("p2x").bitwiseXOR(F.col("p2y"))))
+    can_differ = odd <= mx + my - _overlap(mx, my) * 2
+    met = a.join(b, "tok").where((F.col("y") < F.col("x")) & _near_sizes(mx, my) & can_reach & can_differ)
     # c common prefix tokens, and after the last of them, or after the prefixes, no more than
     # the smallest rest: together they must reach the overlap
     rest = F.least(after, F.greatest(mx - _prefix_size(mx), my - _prefix_size(my)))
@@ -176,7 +194,7 @@ def removed_lines(docs: DataFrame, text: Column) -> DataFrame:
     n = shuffle_partitions(docs.sparkSession)
     w = Window.partitionBy("tok").orderBy("pos")
     posted = (_postings(firsts, _rarity(docs, text)).repartition(n, "tok")
-              .select("tok", "pos", "m", "k", F.lag("pos").over(w).alias("before"),
+              .select("tok", "pos", "m", "k", "p1", "p2", F.lag("pos").over(w).alias("before"),
                       F.lead("pos").over(w).alias("after"))
               .where("before is not null or after is not null").drop("before", "after"))
     with SharedTable(posted, "tok", n, "pos") as posted:
