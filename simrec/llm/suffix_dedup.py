@@ -176,8 +176,6 @@ def _texts_of(docs: DataFrame, segs: DataFrame) -> DataFrame:
 
 def _decide_hot(texts: DataFrame) -> DataFrame:
     """``key, sig, runs`` of segments whose key is hot, string by string."""
-    texts = checkpoint(texts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, sig, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -216,9 +214,10 @@ def repeated_spans(docs: DataFrame, once: DataFrame) -> DataFrame:
     segs = checkpoint(segs.select("key", "sig", "copies", "r.*"))
     hot = small_side(segs.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
                      .where(F.col("c") > GROUP_MAX).select("key"))
-    hits = _decide(checkpoint(_texts_of(once, segs.join(hot, "key", "left_anti"))))
+    texts = checkpoint(_texts_of(once, segs))
+    hits = _decide(texts.join(hot, "key", "left_anti"))
     if not hot.isEmpty():
-        hits = hits.union(_decide_hot(_texts_of(once, segs.join(hot, "key", "left_semi"))))
+        hits = hits.union(_decide_hot(texts.join(hot, "key", "left_semi")))
     found = live.join(checkpoint(hits), ["key", "sig"]).select("dn", "p0", "runs").distinct()
     spans = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("p0")).alias("lo"),
                                                    (r["hi"] + F.col("p0") + LENGTH).alias("hi")))
