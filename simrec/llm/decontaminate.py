@@ -1,23 +1,25 @@
-"""Benchmark decontamination by spaced-seed hashing.
+"""Benchmark decontamination by seeds of neighbouring tokens.
 
-Fixed masks choose some of ``span`` neighbouring tokens; the chosen tokens' hash is a
-seed, so a substitution on an ignored position leaves the seed as it is. Seeds of
-all benchmark positions and of all document positions are joined; around every hit
-the aligned tokens are compared, and an overlap counts when at least
-``min_match`` of a window of ``window`` tokens (the whole item if it is shorter) agree.
+An overlap counts when at least ``min_match`` of a window of ``window`` tokens (the
+whole item if it is shorter) agree. Where ``need`` of ``size`` tokens agree, the others cut
+them into at most ``size - need + 1`` runs, so one run has at least
+``need / (size - need + 1)`` tokens (4 of a full window): the hash of so many neighbouring
+tokens is a seed that no overlap lacks. Seeds of all benchmark positions and of all
+document positions are joined; around every hit the aligned tokens are compared.
 
 The benchmark side is joined in blocks of at most ``BLOCK_SEEDS`` rows, each
 broadcast; a larger benchmark takes more blocks, so document positions are
 never shuffled. Tokens are the lower-cased words.
 
 Edge cases: null texts have no tokens and match nothing; an item with fewer tokens
-than ``span`` has no seed and matches nothing (too short to tell a leak from
+than a full window's seed matches nothing (too short to tell a leak from
 chance); repeated documents and items share their verdict; empty tables on either
 side give no match. Extra columns are not read, and are handed on by ``decontaminate``.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,55 +27,67 @@ from pyspark.sql import functions as F
 
 from .common import Frame, checkpoint, pick, small_side, split_words
 
-#: fixed masks: 1 = token counts, 0 = token is ignored
-MASKS = ("111010011011", "110110010111")
 WINDOW, MIN_MATCH = 20, 0.8
+
+
+def seed_tokens(size: int, min_match: float = MIN_MATCH) -> int:
+    """The longest run of agreeing tokens that no overlap of ``size`` tokens lacks."""
+    need = math.ceil(size * min_match)
+    return max(1, -(-need // (size - need + 1)))
+
+
+#: the seed of a full window: 1 = token counts
+MASKS = ("1" * seed_tokens(WINDOW),)
 #: benchmark seeds (with their token windows, some 500 bytes each) in one broadcast
 BLOCK_SEEDS = 50_000
 
 
-def _seeds(hashes: Column, at: Column, masks) -> Column:
-    """The seed of every mask at position ``at`` (0-based)."""
+def _seeds(at: str, lengths) -> Column:
+    """The seed of every length at position ``at`` (0-based) of ``h``; null past the end."""
     return F.array(*[
-        F.xxhash64(F.lit(k), *[F.get(hashes, at + o) for o, bit in enumerate(m) if bit == "1"])
-        for k, m in enumerate(masks)])
+        F.when(F.col(at) + n <= F.size("h"),
+               F.xxhash64(F.lit(n), *[F.get("h", F.col(at) + o) for o in range(n)]))
+        for n in lengths])
 
 
-def _positions(df: DataFrame, span: int, at: str) -> DataFrame:
-    """Adds ``w`` (tokens), ``h`` (their hashes) and a row for every position ``at`` where
-    ``span`` tokens begin; shorter texts have no row."""
+def _positions(df: DataFrame, at: str) -> DataFrame:
+    """Adds ``w`` (tokens), ``h`` (their hashes) and a row for every position ``at``;
+    empty texts have no row."""
     rows = df.withColumn("w", split_words(F.lower("text"))).drop("text")
     rows = rows.withColumn("h", F.transform("w", lambda t: F.xxhash64(t)))
-    begins = F.when(F.size("w") >= span, F.sequence(F.lit(0), F.size("w") - span))
-    return rows.withColumn(at, F.explode(begins))
+    return rows.withColumn(at, F.explode(F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1))))
 
 
-def benchmark_seeds(bench: DataFrame, masks=MASKS, window: int = WINDOW) -> DataFrame:
-    """``seed, item_id, back, ref``: ``ref`` are the item's tokens of the window to compare
-    and ``back`` how many tokens before the seed's position it starts."""
-    span = len(masks[0])
-    at = _positions(pick(bench, "item_id", "text"), span, "j")
+def benchmark_seeds(bench: DataFrame, window: int = WINDOW, min_match: float = MIN_MATCH) -> DataFrame:
+    """``seed, n, item_id, back, ref``: ``n`` tokens make the seed, ``ref`` are the item's
+    tokens of the window to compare and ``back`` how many tokens before the seed's
+    position it starts."""
+    full = seed_tokens(window, min_match)
+    at = _positions(pick(bench, "item_id", "text"), "j").where(F.size("w") >= full)
     size = F.least(F.lit(window), F.size("w"))
-    start = F.least(F.greatest(F.col("j") + span // 2 - F.floor(size / 2).cast("int"), F.lit(0)),
+    lengths = [seed_tokens(k, min_match) for k in range(1, window + 1)]
+    at = at.withColumn("n", F.get(F.array(*map(F.lit, lengths)), size - 1))
+    start = F.least(F.greatest(F.col("j") + F.floor(F.col("n") / 2).cast("int") - F.floor(size / 2).cast("int"), F.lit(0)),
                     F.size("w") - size)
     at = at.withColumn("start", start)
-    return at.select(F.explode(_seeds(F.col("h"), F.col("j"), masks)).alias("seed"), "item_id",
-                     (F.col("j") - F.col("start")).alias("back"),
-                     F.slice("w", F.col("start") + 1, size).alias("ref")).distinct()
+    every = sorted(set(lengths))
+    seed = F.get(_seeds("j", every), F.array_position(F.array(*map(F.lit, every)), F.col("n")).cast("int") - 1)
+    return at.select(seed.alias("seed"), "n", "item_id", (F.col("j") - F.col("start")).alias("back"),
+                     F.slice("w", F.col("start") + 1, size).alias("ref")).where("seed is not null").distinct()
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, masks=MASKS, window: int = WINDOW,
+def contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
                  min_match: float = MIN_MATCH) -> DataFrame:
     """``doc_id, th, item_id``: the items of which a document holds a verified overlap."""
-    span = len(masks[0])
-    seeds = checkpoint(benchmark_seeds(bench, masks, window))
-    n_blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
+    seeds = checkpoint(benchmark_seeds(bench, window, min_match))
+    n_seeds, lengths = seeds.agg(F.count(F.lit(1)), F.collect_set("n")).first()
+    n_blocks = max(1, -(-n_seeds // BLOCK_SEEDS))
     slim = pick(docs, "doc_id", "text")
     # Up to the slices this is one generated loop per document: its tokens are held once,
     # and only hits leave it. The comparison, a higher-order function, must stay out of it.
-    at = _positions(slim.withColumn("th", F.xxhash64("text")), span, "i")
+    at = _positions(slim.withColumn("th", F.xxhash64("text")), "i")
     at = at.select("doc_id", "th", "w", "i",
-                   F.explode(_seeds(F.col("h"), F.col("i"), masks)).alias("seed"))
+                   F.explode(_seeds("i", sorted(lengths) or [1])).alias("seed"))
     begin = F.col("i") - F.col("back")
     agree = F.aggregate(
         F.sequence(F.lit(0), F.size("own") - 1), F.lit(0),
