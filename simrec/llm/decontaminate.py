@@ -5,7 +5,7 @@ whole item if it is shorter) agree. Where ``need`` of ``size`` tokens agree, the
 them into at most ``size - need + 1`` runs, so one run has at least
 ``need / (size - need + 1)`` tokens (4 of a full window): the hash of so many neighbouring
 tokens is a seed that no overlap lacks. Seeds of all benchmark positions and of all
-document positions are joined; around every hit the aligned tokens are compared.
+document positions are joined; around every hit all windows that hold it are compared.
 
 The benchmark side is joined in blocks of at most ``BLOCK_SEEDS`` rows, each
 broadcast; a larger benchmark takes more blocks, so document positions are
@@ -38,7 +38,7 @@ def seed_tokens(size: int, min_match: float = MIN_MATCH) -> int:
 
 #: the seed of a full window: 1 = token counts
 MASKS = ("1" * seed_tokens(WINDOW),)
-#: benchmark seeds (with their token windows, some 500 bytes each) in one broadcast
+#: benchmark seeds (with the tokens around them, some 1,000 bytes each) in one broadcast
 BLOCK_SEEDS = 50_000
 
 
@@ -60,20 +60,19 @@ def _positions(df: DataFrame, at: str) -> DataFrame:
 
 def benchmark_seeds(bench: DataFrame, window: int = WINDOW, min_match: float = MIN_MATCH) -> DataFrame:
     """``seed, n, item_id, back, ref``: ``n`` tokens make the seed, ``ref`` are the item's
-    tokens of the window to compare and ``back`` how many tokens before the seed's
-    position it starts."""
+    tokens of all windows that hold it and ``back`` how many tokens before the seed's
+    position they start."""
     full = seed_tokens(window, min_match)
     at = _positions(pick(bench, "item_id", "text"), "j").where(F.size("w") >= full)
     size = F.least(F.lit(window), F.size("w"))
     lengths = [seed_tokens(k, min_match) for k in range(1, window + 1)]
     at = at.withColumn("n", F.get(F.array(*map(F.lit, lengths)), size - 1))
-    start = F.least(F.greatest(F.col("j") + F.floor(F.col("n") / 2).cast("int") - F.floor(size / 2).cast("int"), F.lit(0)),
-                    F.size("w") - size)
-    at = at.withColumn("start", start)
+    at = at.withColumn("start", F.greatest(F.col("j") + F.col("n") - window, F.lit(0)))
+    end = F.least(F.col("j") + window, F.size("w"))
     every = sorted(set(lengths))
     seed = F.get(_seeds("j", every), F.array_position(F.array(*map(F.lit, every)), F.col("n")).cast("int") - 1)
     return at.select(seed.alias("seed"), "n", "item_id", (F.col("j") - F.col("start")).alias("back"),
-                     F.slice("w", F.col("start") + 1, size).alias("ref")).where("seed is not null").distinct()
+                     F.slice("w", F.col("start") + 1, end - F.col("start")).alias("ref")).where("seed is not null").distinct()
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
@@ -89,11 +88,17 @@ def contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
     at = at.select("doc_id", "th", "w", "i",
                    F.explode(_seeds("i", sorted(lengths) or [1])).alias("seed"))
     begin = F.col("i") - F.col("back")
-    agree = F.aggregate(
-        F.sequence(F.lit(0), F.size("own") - 1), F.lit(0),
-        lambda n, k: n + F.coalesce(
-            (F.get("own", k) == F.get("ref", k + F.col("off"))).cast("int"), F.lit(0)))
-    enough = agree >= F.ceil(F.size("ref") * F.lit(min_match))
+    size = F.least(F.size("ref"), F.lit(window))
+
+    def same(k):
+        return F.coalesce((F.get("own", k - F.col("off")) == F.get("ref", k)).cast("int"), F.lit(0))
+
+    def slide(acc, k):
+        now = acc["now"] + same(k) - same(k - size)
+        return F.struct(now.alias("now"), F.greatest(acc["best"], now).alias("best"))
+    best = F.aggregate(F.sequence(F.lit(0), F.size("ref") - 1),
+                       F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), slide, lambda acc: acc["best"])
+    enough = best >= F.ceil(size * F.lit(min_match))
     found = []
     for k in range(n_blocks):
         block = seeds if n_blocks == 1 else seeds.where(

@@ -70,3 +70,24 @@ def test_allowed_substitutions_are_found(make_docs, spark):
     rows.append((900, in_noise(900, fifth)))
     want = compare(make_docs, spark, rows, items)
     assert want[900] == "9" and 100 < sum(map(bool, want.values())) < len(rows)
+
+
+def test_best_window_of_a_longer_item(make_docs, spark):
+    """20-token excerpts of longer items, and copies cut by a document's start or end."""
+    rng = random.Random(57)
+    sizes = [21, 24, 30, 45, 59]
+    items = [(k, " ".join(tokens(k, n))) for k, n in enumerate(sizes)]
+    rows = []
+    for d in range(200):
+        k = d % len(sizes)
+        s = rng.randint(0, sizes[k] - W)
+        part = tokens(k, sizes[k])[s:s + W]
+        for at in rng.sample(range(W), rng.choice([2, 3, 4, 4, 5])):
+            part[at] = "sub"
+        rows.append((d, in_noise(d, part)))
+    for k, n in enumerate(sizes):
+        whole = tokens(k, n)
+        rows += [(1000 + 20 * k + c, " ".join(w)) for c, w in enumerate([
+            whole[-16:] + ["x"] * 40, ["x"] * 40 + whole[:16], whole[-15:] + ["x"] * 40, whole[2:18]])]
+    want = compare(make_docs, spark, rows, items)
+    assert 100 < sum(map(bool, want.values())) < len(rows)
