@@ -11,10 +11,10 @@ The benchmark side is joined in blocks of at most ``BLOCK_SEEDS`` rows, each
 broadcast; a larger benchmark takes more blocks, so document positions are
 never shuffled. Tokens are the lower-cased words.
 
-Edge cases: null texts have no tokens and match nothing; an item with fewer tokens
-than a full window's seed matches nothing (too short to tell a leak from
-chance); repeated documents and items share their verdict; empty tables on either
-side give no match. Extra columns are not read, and are handed on by ``decontaminate``.
+Edge cases: null and blank texts have no tokens and match nothing; an item of one to four
+tokens matches where all of them agree, however common they are; repeated documents and
+items share their verdict; empty tables on either side give no match. Extra columns
+are not read, and are handed on by ``decontaminate``.
 """
 
 from __future__ import annotations
@@ -62,8 +62,7 @@ def benchmark_seeds(bench: DataFrame, window: int = WINDOW, min_match: float = M
     """``seed, n, item_id, back, ref``: ``n`` tokens make the seed, ``ref`` are the item's
     tokens of all windows that hold it and ``back`` how many tokens before the seed's
     position they start."""
-    full = seed_tokens(window, min_match)
-    at = _positions(pick(bench, "item_id", "text"), "j").where(F.size("w") >= full)
+    at = _positions(pick(bench, "item_id", "text"), "j")
     size = F.least(F.lit(window), F.size("w"))
     lengths = [seed_tokens(k, min_match) for k in range(1, window + 1)]
     at = at.withColumn("n", F.get(F.array(*map(F.lit, lengths)), size - 1))
@@ -72,7 +71,8 @@ def benchmark_seeds(bench: DataFrame, window: int = WINDOW, min_match: float = M
     every = sorted(set(lengths))
     seed = F.get(_seeds("j", every), F.array_position(F.array(*map(F.lit, every)), F.col("n")).cast("int") - 1)
     return at.select(seed.alias("seed"), "n", "item_id", (F.col("j") - F.col("start")).alias("back"),
-                     F.slice("w", F.col("start") + 1, end - F.col("start")).alias("ref")).where("seed is not null").distinct()
+                     F.slice("w", F.col("start") + 1, end - F.col("start")).alias("ref")
+                     ).where("seed is not null").distinct()
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW,

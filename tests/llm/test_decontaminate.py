@@ -91,3 +91,15 @@ def test_best_window_of_a_longer_item(make_docs, spark):
             whole[-16:] + ["x"] * 40, ["x"] * 40 + whole[:16], whole[-15:] + ["x"] * 40, whole[2:18]])]
     want = compare(make_docs, spark, rows, items)
     assert 100 < sum(map(bool, want.values())) < len(rows)
+
+
+def test_short_items(make_docs, spark):
+    """Items shorter than a full window's seed match where all their tokens agree."""
+    items = [(k, " ".join(tokens(k, k))) for k in range(1, 12)] + [(50, " "), (51, None), (52, "A a b")]
+    rows = [(k, in_noise(k, tokens(k, k))) for k in range(1, 12)]
+    rows += [(100 + k, in_noise(k, ["sub", *tokens(k, k)[1:]])) for k in range(1, 12)]
+    rows += [(200, "a A B"), (201, "a b a"), (202, "i1t0"), (203, "i2t0 i2t1"), (204, ""), (205, None),
+             (206, "i3t1 i3t2"), (207, "i4t0 i4t1 i4t2")]
+    want = compare(make_docs, spark, rows, items)
+    assert all(want[k] == str(k) for k in range(1, 12)) and want[200] == "52" and want[203] == "2"
+    assert not any(want[d] for d in (101, 104, 201, 204, 205, 206, 207)) and want[105] == "5"
