@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, line_dedup, mixing, quality, simhash, suffix_dedup, token_counts, url_filter
-from .common import table
+from . import (chat, decontaminate, langid, line_dedup, mixing, negatives, quality, resampling, simhash, suffix_dedup,
+               token_counts, toxicity, url_filter)
+from .common import small_side, table
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -315,6 +316,81 @@ FROM spot GROUP BY conv_id, perspective, part
 """
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = resampling.resampling_plan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return plan.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_WORD11 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOW11 = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# DuckDB has no CRC: its table by the polynomial, then one step a byte
+OP11_SQL = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n] || range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+dw AS (SELECT rid, unnest(regexp_extract_all({_LOW11}, '{_WORD11}')) AS w
+       FROM (SELECT row_number() OVER () AS rid, text FROM documents)),
+bw AS (SELECT unnest(regexp_extract_all({_LOW11}, '{_WORD11}')) AS w FROM benchmark),
+vocab AS (SELECT w, list_transform(range(0, length(hex(encode(w))), 2),
+    lambda i: ('0x' || hex(encode(w))[i + 1:i + 2])::BIGINT) AS bytes
+  FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+hashed AS (SELECT w, xor(list_reduce([4294967295::BIGINT] || bytes,
+    lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b FROM vocab, crc),
+s AS (SELECT b, count(*) AS n FROM dw JOIN hashed USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM bw JOIN hashed USING (w) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (SELECT sum(n) + 10000 FROM s)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (SELECT coalesce(sum(n), 0) + 10000 FROM t)::DOUBLE)))::BIGINT AS g
+  FROM s FULL JOIN t USING (b)),
+per AS (SELECT rid, count(*) AS n, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight
+        FROM dw JOIN hashed USING (w) JOIN gain USING (b) GROUP BY rid),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5)
+            / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) LEFT JOIN per USING (rid)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS drawn FROM scored)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= drawn THEN place::BIGINT END AS rank FROM ranked
+"""
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    known = small_side(table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out))
+    machine = toxicity.train(docs.select("doc_id", "text").join(known, "doc_id"), "toxic")
+    out = toxicity.score(docs, machine)
+    return out.select("doc_id", held_out.alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+  FROM p JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
 LLM_QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
@@ -326,6 +402,9 @@ LLM_QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_toxicity": op12_toxicity,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 LLM_ORACLE = {
@@ -335,4 +414,6 @@ LLM_ORACLE = {
     "op5_quality_rules": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_chat_format": OP9_SQL,
+    "op11_importance_resampling": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
