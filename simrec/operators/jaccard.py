@@ -5,7 +5,7 @@ order; see ``ranking.dense_ordinals``) so every later join and aggregate
 works on fixed-width keys. The coded baskets are checkpointed once and shared
 by MinHash, candidate pruning and verification.
 
-Exact search prunes pairs with three necessary conditions for J >= t, all
+Exact search prunes pairs with four necessary conditions for J >= t, all
 exact (no pair reaching t is lost):
 
 1. prefix: order every member globally by (frequency, code), rarest first;
@@ -14,7 +14,10 @@ exact (no pair reaching t is lost):
 2. length: t*|y| <= |x| <= |y|/t;
 3. position: with c shared prefix members, the last of them at positions
    i (in x) and j (in y), the overlap is at most c + min(|x|-i, |y|-j), and
-   J >= t needs overlap >= ceil(t/(1+t) * (|x|+|y|)).
+   J >= t needs overlap >= ceil(t/(1+t) * (|x|+|y|)); the same for each shared
+   member alone, inside the join;
+4. sketch: parity sketches (see ``sketch``), a short one inside the join and the whole one
+   on the pairs that are left.
 
 Common members, which make a plain member self-join quadratic, fall at the
 end of the order and are never paired on. Survivors are verified by counting
@@ -26,10 +29,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import LENGTH_EPS, PAIR_BLOCK_SIZE, THRESHOLD
+from ..functions.constants import LENGTH_EPS, PAIR_BLOCK_SIZE, SKETCH_SHORT, SKETCH_WORDS, THRESHOLD
 from ..session import reliable_checkpoint
 from .pairs import blocked_join, pairs_in_groups
 from .ranking import dense_ordinals, row_number_within
+from .sketch import folded, lengths_fit, needed_overlap, sketches, sketches_fit, thinned
 
 
 def baskets(df: DataFrame, item_col: str = "item_id", member_col: str = "member_id") -> DataFrame:
@@ -55,71 +59,86 @@ def item_member_counts(df: DataFrame, item_col: str = "item_id",
 def encode_baskets(bk: DataFrame, checkpoint: bool = True) -> DataFrame:
     """``(item_id, x, n)``: baskets with members replaced by their 1-based
     sorted ordinal x; n is the number of distinct members. Checkpointed so the
-    several consumers neither re-tokenise nor re-rank."""
+    several consumers neither re-tokenise nor re-rank.
+
+    The dictionary grows with the data, so no hash table of it is asked for: the join is a
+    sort-merge, which spills and whose hot members AQE splits, or a broadcast where the
+    dictionary's measured size allows it."""
+    bk = reliable_checkpoint(bk)                   # read for the dictionary and for the join
     ords = dense_ordinals(bk, "member_id", out="x", total="n")
-    coded = bk.join(ords.hint("shuffle_hash"), "member_id").select("item_id", "x", "n")
+    coded = bk.join(ords, "member_id").select("item_id", "x", "n")
     return reliable_checkpoint(coded) if checkpoint else coded
 
 
 def verify_pairs(candidates: DataFrame, ebk: DataFrame, threshold: float | None = THRESHOLD,
                  sizes: DataFrame | None = None, member: str = "x") -> DataFrame:
-    """Exact Jaccard of candidate pairs ``(item_1, item_2)``.
+    """Exact Jaccard of candidate pairs ``(item_1, item_2[, n_1, n_2])``.
 
     The overlap is counted from the *smaller* set: its members are looked up
     in the larger set with a semi-join on (item, member), so the work per pair
     is min(|A|, |B|) rows. Returns ``(item_1, item_2, similarity)``;
-    ``threshold=None`` keeps every candidate with a non-empty overlap.
+    ``threshold=None`` keeps every candidate with a non-empty overlap. Sizes that the
+    candidates do not carry are joined on.
     """
-    sizes = sizes if sizes is not None else basket_sizes(ebk)
-    s1 = sizes.select(F.col("item_id").alias("item_1"), F.col("n_members").alias("n_1"))
-    s2 = sizes.select(F.col("item_id").alias("item_2"), F.col("n_members").alias("n_2"))
-    cand = (candidates.select("item_1", "item_2").join(s1.hint("shuffle_hash"), "item_1")
-                      .join(s2.hint("shuffle_hash"), "item_2"))
-    swap = F.col("n_1") > F.col("n_2")
-    oriented = cand.select(F.when(swap, F.col("item_2")).otherwise(F.col("item_1")).alias("_drv"),
-                           F.when(swap, F.col("item_1")).otherwise(F.col("item_2")).alias("_oth"))
+    if "n_1" not in candidates.columns:
+        sizes = sizes if sizes is not None else basket_sizes(ebk)
+        for k in (1, 2):
+            candidates = candidates.join(sizes.select(F.col("item_id").alias(f"item_{k}"),
+                                                      F.col("n_members").alias(f"n_{k}")), f"item_{k}")
+    first = F.col("n_1") <= F.col("n_2")
+    # read for the hot drivers, the expansion and the sizes
+    cand = reliable_checkpoint(candidates.select(
+        F.when(first, F.col("item_1")).otherwise(F.col("item_2")).alias("_drv"),
+        F.when(first, F.col("item_2")).otherwise(F.col("item_1")).alias("_oth"),
+        (F.col("n_1") + F.col("n_2")).alias("_n")))
+    # few items have a partner left; only their members are shuffled by what follows
+    asked = cand.select(F.explode(F.array("_drv", "_oth")).alias("item_id")).distinct()
+    members = reliable_checkpoint(ebk.select("item_id", F.col(member).alias("_m")).join(asked, "item_id", "left_semi"))
     # the expanded rows carry only (driver, other, member); sizes rejoin after the count
-    oriented = reliable_checkpoint(oriented)       # its hot drivers are counted, then it is joined
-    expanded = blocked_join(oriented, ebk.select(F.col("item_id").alias("_drv"), F.col(member).alias("_m")),
-                            "_drv")
-    probe = ebk.select(F.col("item_id").alias("_oth"), F.col(member).alias("_m"))
+    expanded = blocked_join(cand.select("_drv", "_oth"), members.withColumnRenamed("item_id", "_drv"), "_drv")
+    probe = members.withColumnRenamed("item_id", "_oth")
     shared = expanded.join(probe, ["_oth", "_m"], "left_semi")
-    overlap = (shared.groupBy("_drv", "_oth").agg(F.count(F.lit(1)).alias("_k"))
-                     .select(F.least("_drv", "_oth").alias("item_1"), F.greatest("_drv", "_oth").alias("item_2"), "_k")
-                     .join(s1.hint("shuffle_hash"), "item_1").join(s2.hint("shuffle_hash"), "item_2"))
-    sim = (F.col("_k").cast("double")
-           / (F.col("n_1") + F.col("n_2") - F.col("_k")).cast("double"))
-    out = overlap.select("item_1", "item_2", sim.alias("similarity"))
+    overlap = shared.groupBy("_drv", "_oth").agg(F.count(F.lit(1)).alias("_k")).join(cand, ["_drv", "_oth"])
+    sim = F.col("_k").cast("double") / (F.col("_n") - F.col("_k")).cast("double")
+    out = overlap.select(F.least("_drv", "_oth").alias("item_1"), F.greatest("_drv", "_oth").alias("item_2"),
+                         sim.alias("similarity"))
     if threshold is not None:
         out = out.where(F.col("similarity") >= F.lit(float(threshold)))
     return out
 
 
-def prefix_candidates(ebk: DataFrame, threshold: float = THRESHOLD, sizes: DataFrame | None = None,
+def prefix_candidates(ebk: DataFrame, threshold: float = THRESHOLD, sk: DataFrame | None = None,
                       block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
-    """Pairs ``(item_1, item_2)`` passing the prefix, length and positional
-    filters for Jaccard >= ``threshold`` (a superset of the true pairs)."""
+    """Pairs ``(item_1, item_2, n_1, n_2)`` passing the prefix, length, positional and
+    sketch filters for Jaccard >= ``threshold`` (a superset of the true pairs)."""
     if not threshold > 0:
         raise ValueError("threshold must be > 0 for the prefix filter")
     t = float(threshold)
-    sizes = sizes if sizes is not None else basket_sizes(ebk)
+    sk = sk if sk is not None else reliable_checkpoint(sketches(ebk))
     freq = ebk.groupBy("x").agg(F.count(F.lit(1)).alias("_df"))
-    ranked = row_number_within(ebk.select("item_id", "x").join(freq.hint("shuffle_hash"), "x")
-                                  .join(sizes.hint("shuffle_hash"), "item_id"),
-                               ["item_id"], ["_df", "x"], out="_rn")
+    ranked = row_number_within(ebk.select("item_id", "x").join(freq, "x"), ["item_id"], ["_df", "x"], out="_rn")
+    short = sk.select("item_id", "n_members", folded(F.col("parity"), SKETCH_WORDS, SKETCH_SHORT).alias("short"))
     n = F.col("n_members")
     prefix_len = n - F.ceil(F.lit(t) * n - F.lit(LENGTH_EPS)) + 1
-    # read twice by the pair generator (group sizes and rows): write it once
-    prefix = reliable_checkpoint(ranked.where(F.col("_rn") <= prefix_len).select("x", "item_id", "n_members", "_rn"))
+    # read twice by the pair generator (group sizes and rows): write it once. A member of one
+    # item only makes no pair
+    prefix = reliable_checkpoint(ranked.where("_df > 1").join(short, "item_id").where(F.col("_rn") <= prefix_len)
+                                 .select("x", "item_id", "n_members", "_rn", "short"))
+
+    def keep(a, b):
+        n1, n2 = a("n_members"), b("n_members")
+        # members before and after this place bound the overlap from both sides
+        bound = F.least(a("_rn"), b("_rn")) + F.least(n1 - a("_rn"), n2 - b("_rn"))
+        return (lengths_fit(n1, n2, t) & (bound >= needed_overlap(n1, n2, t))
+                & sketches_fit(a("short"), b("short"), n1, n2, t, SKETCH_SHORT))
+
     pairs = pairs_in_groups(prefix, ["x"], "item_id", carry_cols=["n_members", "_rn"],
-                            block_size=block_size)
+                            block_size=block_size, test_cols=["short"], keep=keep)
     n1, n2 = F.col("n_members_1"), F.col("n_members_2")
-    pairs = pairs.where(F.least(n1, n2).cast("double") >= F.lit(t) * F.greatest(n1, n2) - F.lit(LENGTH_EPS))
     grouped = pairs.groupBy("item_1", "item_2", "n_members_1", "n_members_2").agg(
         F.count(F.lit(1)).alias("_c"), F.max("_rn_1").alias("_i"), F.max("_rn_2").alias("_j"))
     bound = F.col("_c") + F.least(n1 - F.col("_i"), n2 - F.col("_j"))
-    need = F.ceil(F.lit(t / (1.0 + t)) * (n1 + n2) - F.lit(LENGTH_EPS))
-    return grouped.where(bound >= need).select("item_1", "item_2")
+    return thinned(grouped.where(bound >= needed_overlap(n1, n2, t)), sk, t)
 
 
 def exact_similar_pairs(bk: DataFrame, threshold: float = THRESHOLD,
@@ -131,8 +150,7 @@ def exact_similar_pairs(bk: DataFrame, threshold: float = THRESHOLD,
 
     ebk = ebk if ebk is not None else encode_baskets(bk)
     rebk, classes = copies.dedupe(ebk)
-    sizes = basket_sizes(rebk)
-    rep_pairs = verify_pairs(prefix_candidates(rebk, threshold, sizes, block_size), rebk, threshold, sizes=sizes)
+    rep_pairs = verify_pairs(prefix_candidates(rebk, threshold, block_size=block_size), rebk, threshold)
     return expand_similar(rep_pairs, classes, threshold, block_size)
 
 

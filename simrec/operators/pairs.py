@@ -11,9 +11,9 @@ Groups of one row are dropped before the join: they form no pair.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import PAIR_BLOCK_SIZE
@@ -21,33 +21,41 @@ from ..functions.constants import PAIR_BLOCK_SIZE
 
 def pairs_in_groups(df: DataFrame, group_cols: Sequence[str], item_col: str,
                     carry_cols: Sequence[str] = (),
-                    block_size: int = PAIR_BLOCK_SIZE) -> DataFrame:
+                    block_size: int = PAIR_BLOCK_SIZE, test_cols: Sequence[str] = (),
+                    keep: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None
+                    ) -> DataFrame:
     """Pairs ``(item_1, item_2[, carry_1, carry_2 ...])`` with item_1 < item_2.
 
     ``df`` must hold each (group, item) at most once. Carried columns come out
     suffixed ``_1`` / ``_2`` to follow their item. A pair sharing several groups
     appears once per group; callers ``distinct`` if they need a set.
+
+    ``keep(a, b)`` gives a symmetric condition, made inside the join, on the two rows of a
+    pair: ``a("c")`` is column ``c`` (carried, or one of ``test_cols``) of one of them.
     """
     group_cols = list(group_cols)
     carry_cols = list(carry_cols)
+    side_cols = carry_cols + [c for c in test_cols if c not in carry_cols]
     sizes = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_pg_size"))
                .where(F.col("_pg_size") > 1))
     nblk = F.ceil(F.col("_pg_size") / F.lit(block_size)).cast("int")
-    base = (df.join(sizes.hint("shuffle_hash"), group_cols)
+    base = (df.join(sizes, group_cols)
               .withColumn("_pg_nblk", nblk)
               .withColumn("_pg_blk", F.pmod(F.xxhash64(F.col(item_col)), F.col("_pg_nblk")).cast("int")))
     # left copy of a row in block b meets blocks b..nblk-1; right copy meets 0..b
     left = base.select(*group_cols, F.col("_pg_blk").alias("_pg_bl"),
                        F.explode(F.sequence(F.col("_pg_blk"), F.col("_pg_nblk") - 1)).alias("_pg_br"),
-                       F.col(item_col).alias("_l_item"), *[F.col(c).alias("_l_" + c) for c in carry_cols])
+                       F.col(item_col).alias("_l_item"), *[F.col(c).alias("_l_" + c) for c in side_cols])
     right = base.select(*group_cols,
                         F.explode(F.sequence(F.lit(0), F.col("_pg_blk"))).alias("_pg_bl"),
                         F.col("_pg_blk").alias("_pg_br"),
-                        F.col(item_col).alias("_r_item"), *[F.col(c).alias("_r_" + c) for c in carry_cols])
+                        F.col(item_col).alias("_r_item"), *[F.col(c).alias("_r_" + c) for c in side_cols])
     keys = group_cols + ["_pg_bl", "_pg_br"]
     joined = left.join(right, keys).where(
         ((F.col("_pg_bl") == F.col("_pg_br")) & (F.col("_l_item") < F.col("_r_item")))
         | ((F.col("_pg_bl") < F.col("_pg_br")) & (F.col("_l_item") != F.col("_r_item"))))
+    if keep is not None:
+        joined = joined.where(keep(lambda c: F.col("_l_" + c), lambda c: F.col("_r_" + c)))
     first_left = F.col("_l_item") < F.col("_r_item")
     out = [F.when(first_left, F.col("_l_item")).otherwise(F.col("_r_item")).alias("item_1"),
            F.when(first_left, F.col("_r_item")).otherwise(F.col("_l_item")).alias("item_2")]

@@ -1,6 +1,6 @@
 """Audit of every plan that a registered query runs (sf0.001), also the parts before a
 checkpoint: no cartesian or nested-loop joins, no Python UDF, scans read only the needed
-columns, and LSH forms bucket pairs only where those are the result."""
+columns, and the LSH search forms the pairs of its own buckets, not those of the prefix filter."""
 import re
 
 import pytest
@@ -11,7 +11,8 @@ from simrec.plans.queries import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "MapInArrow", "MapInPandas")
-BUCKET_PAIRS = {"lsh_candidates", "lsh_candidates_train"}
+BUCKET_PAIRS = {"lsh_candidates", "lsh_candidates_train", "similar_items_lsh", "lsh_pair_metrics"}
+PREFIX_PAIRS = {"exact_jaccard_pairs", "item_jaccard_exact", "lsh_pair_metrics"}
 
 
 def _plan(df):
@@ -47,6 +48,9 @@ def test_plans(spark, plans, name):
         assert any(map(_columns, plans)), "no documents scan was seen"
     pairs = any("bucket#" in plan and "_pg_blk#" in plan for plan in plans)
     assert pairs == (name in BUCKET_PAIRS)
+    assert any("_rn#" in plan and "_df#" in plan for plan in plans) == (name in PREFIX_PAIRS)
+    for plan in plans:                             # a pair comes from its lowest band: none is merged again
+        assert not re.search(r"HashAggregate\(keys=\[item_1#\d+, item_2#\d+\], functions=\[\]", plan), name
 
 
 def test_the_column_check_sees_an_added_column(spark, plans):
