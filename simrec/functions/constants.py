@@ -25,6 +25,7 @@ ALS_REG = 0.15
 # Our own choices (not from the reference).
 HASH_SEED = 20240917          # seeds the hash family; the reference is unseeded
 ALS_SEED = 42
+ALS_TOLERANCE = 1e-5          # relative; factors are 32-bit floats
 SIGNED_ZERO_EPS = 1e-12       # |sum of signed weights| below this counts as zero
 STARS_TYPE = "decimal(6,3)"   # stars have at most three decimals; products of sums stay exact
 LENGTH_EPS = 1e-9             # slack for threshold * size in prefix/length filters

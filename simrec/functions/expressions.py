@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .constants import DEFAULT_STARS, MAX_STARS, MIN_STARS, STARS_TYPE
 
+#: the largest n whose square, the bound of a*x + b, fits into 63 bits
+MAX_SQUARE = 3_037_000_499
+
 
 def hash_coefficients(raw_a: int, raw_b: int, n: int) -> tuple[int, int]:
     """(a, b) of one universal hash for modulus ``n``: a odd in [1, n-1]
@@ -15,10 +18,24 @@ def hash_coefficients(raw_a: int, raw_b: int, n: int) -> tuple[int, int]:
 
 
 def universal_hash(x: Column, a: int, b: int, n: int) -> Column:
-    """(a*x + b) mod n on BIGINT (exact while n^2 < 2^63); literals keep the
-    per-row work to one multiply-add and one modulo."""
-    return F.pmod(x.cast("long") * F.lit(a).cast("long") + F.lit(b).cast("long"),
-                  F.lit(max(n, 1)).cast("long"))
+    """(a*x + b) mod n on BIGINT, for 0 <= a, b, x < n <= 2^62.
+
+    While n^2 < 2^63 the per-row work is one multiply-add and one modulo. For a larger n the
+    product would overflow: a is cut into digits of as many bits as n leaves free, and the
+    product is built from the highest digit down, reduced after every step.
+    """
+    x, m = x.cast("long"), F.lit(max(n, 1)).cast("long")
+    if n <= MAX_SQUARE:
+        return F.pmod(x * F.lit(a).cast("long") + F.lit(b).cast("long"), m)
+    if n > 1 << 62:
+        raise ValueError("n must be at most 2^62")
+    bits = 63 - (n - 1).bit_length()               # digit * x and rest * 2^bits stay below 2^63
+    digits = [(a >> k) & ((1 << bits) - 1) for k in range(0, a.bit_length(), bits)]
+    total = F.lit(0).cast("long")
+    for i, digit in enumerate(reversed(digits)):
+        step = x * F.lit(digit).cast("long") % m
+        total = step if i == 0 else (total * F.lit(1 << bits).cast("long") % m + step) % m
+    return (total + F.lit(b).cast("long")) % m
 
 
 def clamp_stars(x: Column) -> Column:

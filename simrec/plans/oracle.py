@@ -236,15 +236,12 @@ FROM neigh g JOIN ist s ON s.item_id = g.item_id AND s.neighbour_item = g.neighb
   CAST(sum(CASE WHEN p.prediction IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing,
   round(avg(pow(t.stars - p.prediction, 2)), 6) AS mse, round(sqrt(avg(pow(t.stars - p.prediction, 2))), 6) AS rmse
 FROM test_pairs t LEFT JOIN pred p ON p.user_id = t.user_id AND p.item_id = t.item_id""")
-    q["rating_metrics_duplicates"] = _with(RATINGS, HOLDOUT, TEST) + """, t AS (
-  SELECT user_id, item_id, max(stars) AS stars FROM (
-    SELECT user_id, item_id, stars FROM test_pairs UNION ALL SELECT user_id, item_id, stars - 1 FROM test_pairs)
-  GROUP BY 1, 2),
-p AS (SELECT DISTINCT user_id, item_id, 2.5::DOUBLE + user_id % 2 AS prediction FROM test_pairs
-      WHERE item_id % 7 <> 0)
+    q["rating_metrics_duplicates"] = (_with(*user_cf_ctes()) + ", p AS (SELECT DISTINCT user_id, item_id, prediction"
+        + " FROM (" + _final("ucf", rounded=False) + """) WHERE branch <> 'cold')
 SELECT count(*) AS n, count(*) FILTER (prediction IS NULL) AS n_missing,
   round(avg(pow(stars - prediction, 2)), 6) AS mse, round(sqrt(avg(pow(stars - prediction, 2))), 6) AS rmse
-FROM t LEFT JOIN p USING (user_id, item_id)"""
+FROM (SELECT user_id, item_id, max(stars) AS stars FROM test_pairs GROUP BY 1, 2)
+LEFT JOIN p USING (user_id, item_id)""")
     q["ratings_text_parse"] = _with(RATINGS) + """SELECT '"u' || user_id AS user_id,
   'b' || item_id || '"' AS item_id, stars FROM ratings"""
     q["als_codes"] = _with(RATINGS, TRAIN) + """SELECT DISTINCT 'user' AS kind, user_id AS id,
@@ -253,4 +250,32 @@ UNION ALL SELECT DISTINCT 'item', item_id, dense_rank() OVER (ORDER BY item_id)
     q["als_coverage"] = _with(*CF_BASE) + """SELECT user_id, item_id,
   user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train) AS predicted
 FROM test_pairs"""
+    covered = """ FROM test_pairs WHERE user_id IN (SELECT user_id FROM train)
+  AND item_id IN (SELECT item_id FROM train)"""
+    q["als_normal_equations"] = _with(RATINGS, TRAIN) + "SELECT DISTINCT user_id, true AS residual_ok FROM train"
+    q["als_dot"] = _with(*CF_BASE) + "SELECT user_id, item_id, true AS same" + covered
+    q["als_mse_dot"] = _with(*CF_BASE) + "SELECT count(*) AS n, 0::BIGINT AS n_missing, true AS same_mse" + covered
+    codes = """SELECT item_id, (x - 1) // 65536 AS part, x FROM tb JOIN (
+    SELECT member_id, row_number() OVER (ORDER BY member_id) AS x FROM (SELECT DISTINCT member_id FROM tb))
+  USING (member_id)"""
+    q["item_baskets_nested"] = (_with(RATINGS, TRAIN, TRAIN_BASKETS) + f"""SELECT item_id, part::BIGINT AS part,
+  count(*) AS n_members, string_agg(x::VARCHAR, ',' ORDER BY x) AS members FROM ({codes}) GROUP BY 1, 2""")
+    q["rating_maps"] = _with(RATINGS, TRAIN) + """SELECT user_id, ((x - 1) // 65536)::BIGINT AS part,
+  string_agg(item_id || ':' || stars::BIGINT, ',' ORDER BY item_id) AS ratings
+FROM (SELECT *, dense_rank() OVER (ORDER BY item_id) AS x FROM train) GROUP BY 1, 2"""
+    q["candidate_adjacency"] = _with(RATINGS, TRAIN, TRAIN_BASKETS, *_candidates("tb", "cand"), """edges AS (
+  SELECT item_1 AS item_id, item_2 AS other FROM cand UNION SELECT item_2, item_1 FROM cand)""") + """
+SELECT item_id, ((x - 1) // 65536)::BIGINT AS part, count(*) AS n,
+  string_agg(other::VARCHAR, ',' ORDER BY other) AS neighbours
+FROM (SELECT *, dense_rank() OVER (ORDER BY other) AS x FROM edges) GROUP BY 1, 2"""
+    q["item_jaccard_nested"] = _with(RATINGS, TRAIN, TRAIN_BASKETS, *_candidates("tb", "cand"),
+                                     *_verified("tb", "cand", "found", 0.1)) + "SELECT * FROM found"
+    q["similar_pairs_file"] = _with(DOC_WORDS, *_exact_pairs("doc_words", "ex")) + """
+SELECT row_number() OVER (ORDER BY least(a, b), greatest(a, b)) AS place, least(a, b) AS item_1,
+  greatest(a, b) AS item_2, round(similarity, 6) AS similarity, true AS read_back
+FROM (SELECT item_1::VARCHAR AS a, item_2::VARCHAR AS b, similarity FROM ex)"""
+    case = "SELECT '{}' AS case_id, user_id, item_id, prediction FROM ({})"
+    q["predict_cases"] = (_with(*CF_BASE) + "SELECT '1' AS case_id, user_id, item_id, NULL::DOUBLE AS prediction"
+                          + covered + "".join("\nUNION ALL " + case.format(k, sql) for k, sql in (
+                              ("2", q["user_cf"]), ("3", q["item_cf"]), ("4", q["item_cf_lsh_filter"]))))
     return q

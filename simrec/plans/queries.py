@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import als, cf, evaluate, jaccard, minhash, ranking
+from ..functions.constants import ALS_TOLERANCE
+from ..operators import als, cf, evaluate, jaccard, minhash, nested, ranking
 from ..sources import fixtures as fx
-from ..session import reliable_checkpoint
-from ..sources.ratings import RATING_NAMES, as_ratings, dedupe_ratings, parse_lines
-from .jobs import item_bands, item_baskets
+from ..session import reliable_checkpoint, shared_folder
+from ..sources.ratings import (PAIR_HEADER, RATING_NAMES, as_ratings, dedupe_ratings, parse_lines, read_ordered,
+                               read_pairs, read_ratings, write_pairs)
+from .jobs import CASE_METHODS, item_bands, item_baskets, predict_case, predict_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
@@ -144,11 +146,12 @@ def q_rating_metrics_user_cf(spark, d):
 
 
 def q_rating_metrics_duplicates(spark, d):
-    """Truth and predictions that hold every key twice, with a lower value the second time."""
+    """Truth and predictions that hold every key twice, with a lower value the second time; cold
+    pairs have no prediction, as with a predictor that drops them."""
     test = fx.test_pairs(spark, d)
     truth = test.unionByName(test.withColumn("stars", F.col("stars") - 1))
-    pred = test.withColumn("prediction", F.lit(2.5) + F.col("user_id") % 2).where("item_id % 7 != 0")
-    pred = pred.unionByName(pred.withColumn("prediction", F.lit(0.0)))
+    pred = reliable_checkpoint(cf.predict_user_cf(_train(spark, d), test).where("branch != 'cold'"))
+    pred = pred.unionByName(pred.withColumn("prediction", F.col("prediction") - 1))
     m = evaluate.rating_metrics(truth, pred)
     return m.select("n", "n_missing", _r("mse"), _r("rmse"))
 
@@ -169,6 +172,88 @@ def q_als_coverage(spark, d):
     return als.als_coverage(_train(spark, d), fx.test_pairs(spark, d))
 
 
+def q_als_normal_equations(spark, d):
+    return als.als_equations(_train(spark, d))
+
+
+def _als_dots(spark, d):
+    return als.als_dot(_train(spark, d), fx.test_pairs(spark, d))
+
+
+def q_als_dot(spark, d):
+    near = F.abs(F.col("prediction") - F.col("dot")) <= ALS_TOLERANCE * (1 + F.abs("dot"))
+    return _als_dots(spark, d).select("user_id", "item_id", near.alias("same"))
+
+
+def q_als_mse_dot(spark, d):
+    """The MSE over the covered test rows, from factor joins against Spark's own."""
+    dots = reliable_checkpoint(_als_dots(spark, d))
+    own = evaluate.rating_metrics(dots, dots)
+    by_dot = evaluate.rating_metrics(dots, dots, "dot").select(F.col("mse").alias("by_dot"))
+    same = F.abs(F.col("mse") - F.col("by_dot")) <= ALS_TOLERANCE * (1 + F.col("mse"))
+    return own.select("n", "n_missing", "mse", F.lit(1).alias("_k")).join(
+        by_dot.withColumn("_k", F.lit(1)), "_k").select("n", "n_missing", same.alias("same_mse"))
+
+
+def _joined(values: str) -> F.Column:
+    return F.array_join(F.transform(values, lambda x: x.cast("string")), ",").alias(values)
+
+
+def q_item_baskets_nested(spark, d):
+    nest = nested.nested_baskets(jaccard.encode_baskets(item_baskets(_train(spark, d))))
+    return nest.select("item_id", "part", F.size("members").cast("long").alias("n_members"), _joined("members"))
+
+
+def q_rating_maps(spark, d):
+    maps = nested.rating_maps(_train(spark, d))
+    entries = F.transform(F.map_entries("ratings"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("long")))
+    return maps.select("user_id", "part", F.array_join(entries, ",").alias("ratings"))
+
+
+def q_candidate_adjacency(spark, d):
+    near = nested.adjacency(cf.candidate_edges(minhash.lsh_candidates(item_baskets(_train(spark, d)))))
+    return near.select("item_id", "part", F.size("neighbours").cast("long").alias("n"), _joined("neighbours"))
+
+
+def q_item_jaccard_nested(spark, d):
+    """LSH candidates of the train items, verified by set operations on nested baskets."""
+    bk = item_baskets(_train(spark, d))
+    ebk = jaccard.encode_baskets(bk)
+    return nested.nested_jaccard(minhash.lsh_candidates(bk, ebk=ebk), nested.nested_baskets(ebk), ITEM_THRESHOLD)
+
+
+def q_similar_pairs_file(spark, d):
+    """The similar pairs as written by the sink: each line by its place in the part files, and
+    whether the pair reader finds its pair."""
+    docs = _doc_baskets(spark, d).select(F.col("item_id").cast("string").alias("item_id"), "member_id")
+    with shared_folder(spark) as path:
+        write_pairs(jaccard.exact_similar_pairs(docs), path)
+        lines = read_ordered(spark, path, PAIR_HEADER).select("place", F.split("line", ",").alias("f"))
+        rows = lines.select("place", F.col("f")[0].alias("item_1"), F.col("f")[1].alias("item_2"),
+                            F.round(F.col("f")[2].cast("double"), ROUND).alias("similarity"))
+        found = read_pairs(spark, path).withColumn("read_back", F.lit(True))
+        return reliable_checkpoint(rows.join(found, ["item_1", "item_2"], "left")
+                                   .withColumn("read_back", F.coalesce("read_back", F.lit(False))))
+
+
+def q_predict_cases(spark, d):
+    """The prediction job by case id: case 2 from and to files, 3 and else on tables; of case 1
+    the rows that it covers, as its values have no closed form."""
+    train, test = reliable_checkpoint(_train(spark, d)), fx.test_pairs(spark, d)
+    with shared_folder(spark) as path:
+        for name, df in (("train", train), ("test", test)):
+            df.write.option("header", True).csv(f"{path}/{name}")
+        predict_files(spark, f"{path}/train", f"{path}/test", CASE_METHODS["2"], f"{path}/out")
+        two = reliable_checkpoint(read_ratings(spark, f"{path}/out").select(
+            F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id"),
+            F.col("stars").alias("prediction")))
+    out = predict_case(train, test, "1").withColumn("prediction", F.lit(None).cast("double")).withColumn(
+        "case_id", F.lit("1"))
+    for case, pred in (("2", two), ("3", predict_case(train, test, "3")), ("4", predict_case(train, test, "4"))):
+        out = out.unionByName(pred.select("user_id", "item_id", "prediction", F.lit(case).alias("case_id")))
+    return out.select("case_id", "user_id", "item_id", _r("prediction"))
+
+
 QUERIES: dict[str, Query] = {
     "ratings_scan": q_ratings_scan,
     "item_user_counts": q_item_user_counts,
@@ -196,4 +281,13 @@ QUERIES: dict[str, Query] = {
     "ratings_text_parse": q_ratings_text_parse,
     "als_codes": q_als_codes,
     "als_coverage": q_als_coverage,
+    "als_normal_equations": q_als_normal_equations,
+    "als_dot": q_als_dot,
+    "als_mse_dot": q_als_mse_dot,
+    "item_baskets_nested": q_item_baskets_nested,
+    "rating_maps": q_rating_maps,
+    "candidate_adjacency": q_candidate_adjacency,
+    "item_jaccard_nested": q_item_jaccard_nested,
+    "similar_pairs_file": q_similar_pairs_file,
+    "predict_cases": q_predict_cases,
 }

@@ -8,6 +8,9 @@ session has none (tests, a laptop) is a fresh local folder assigned.
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,5 +97,16 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shared_folder(spark: SparkSession) -> Iterator[str]:
+    """A fresh folder beside the checkpoints, deleted at the end of the ``with`` block."""
+    name = f"{ensure_checkpoint_dir(spark)}/simrec_{uuid.uuid4().hex}"
+    try:
+        yield name
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import global_positions
+
+PAIR_HEADER = "business_id_1,business_id_2,similarity"
 RATING_NAMES = ("user_id", "item_id", "stars")
 PAIR_NAMES = ("item_1", "item_2", "similarity")
 
@@ -49,6 +52,17 @@ def read_pairs(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
     return _read_positional(spark, path, PAIR_NAMES, fmt).select("item_1", "item_2").distinct()
 
 
+def read_ordered(spark: SparkSession, path: str, header: str) -> DataFrame:
+    """``(place, line)``: the lines of a folder of part files in the order in which they were
+    written (files by name, lines by their place in the file), numbered from 1; header lines,
+    which every part file has, are left out by value."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_from"),
+        F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"))
+    placed = global_positions(lines.where(F.col("line") != header), ["_file", "_from", "_at"], out="_place")
+    return placed.select((F.col("_place") + 1).alias("place"), "line")
+
+
 def dedupe_ratings(df: DataFrame, rule: str = "max") -> DataFrame:
     """One rating per (user, item). The original keeps an arbitrary one of
     duplicate rows; we fix the rule (``max`` or ``min``) so results do not

@@ -1,0 +1,73 @@
+"""Nested baskets, rating maps, adjacency and ordered part files."""
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from simrec.functions.expressions import MAX_SQUARE, universal_hash
+from simrec.operators import jaccard, nested
+from simrec.session import shared_folder
+from simrec.sources import ratings as io
+
+
+@pytest.mark.parametrize("width", [1 << 16, 5])
+def test_nested_baskets_and_set_operations(spark, width):
+    rng = random.Random(1)
+    sets = {k: set(rng.sample(range(1, 41), rng.randint(1, 25))) for k in range(20)}
+    ebk = spark.createDataFrame([(k, x) for k, s in sets.items() for x in s], "item_id long, x long")
+    nest = nested.nested_baskets(ebk, width)
+    got = {}
+    for r in nest.collect():
+        assert len(r.members) <= width and all((x - 1) // width == r.part for x in r.members)
+        assert r.members == sorted(r.members)
+        got.setdefault(r.item_id, set()).update(r.members)
+    assert got == sets
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in pairs}
+    df = spark.createDataFrame(pairs, "item_1 long, item_2 long")
+    found = {(r.item_1, r.item_2): r.similarity for r in nested.nested_jaccard(df, nest, 0.3).collect()}
+    assert found == {p: s for p, s in want.items() if s >= 0.3}
+
+
+def test_rating_maps_and_adjacency_in_parts(spark):
+    rows = [(u, f"i{i}", float(1 + (u + i) % 5)) for u in range(4) for i in range(u, 9)]
+    maps = nested.rating_maps(spark.createDataFrame(rows, "user_id long, item_id string, stars double"), width=4)
+    got = {}
+    for r in maps.collect():
+        assert len(r.ratings) <= 4
+        got.setdefault(r.user_id, {}).update(r.ratings)
+    assert got == {u: {i: s for v, i, s in rows if v == u} for u in range(4)}
+    edges = spark.createDataFrame([(a, b) for a in range(9) for b in range(9) if a != b] * 2,
+                                  "item_id long, neighbour_item long")
+    near = {}
+    for r in nested.adjacency(edges, 4).collect():
+        assert len(r.neighbours) <= 4
+        near.setdefault(r.item_id, []).extend(r.neighbours)
+    assert {k: sorted(v) for k, v in near.items()} == {a: [b for b in range(9) if b != a] for a in range(9)}
+
+
+def test_written_pairs_keep_their_order_in_the_files(spark):
+    rng = random.Random(2)
+    rows = sorted({(f"b{rng.randint(0, 99):02d}", f"c{rng.randint(0, 99):02d}") for _ in range(500)})
+    shuffled = rng.sample(rows, len(rows))
+    df = spark.createDataFrame([(a, b, 0.5) for a, b in shuffled], "item_1 string, item_2 string, similarity double")
+    with shared_folder(spark) as path:
+        io.write_pairs(df.repartition(7), path)
+        lines = sorted(map(tuple, io.read_ordered(spark, path, io.PAIR_HEADER).collect()))
+        assert lines == [(k + 1, f"{a},{b},0.5") for k, (a, b) in enumerate(rows)]
+        assert io.read_pairs(spark, path).count() == len(rows)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
+
+
+@pytest.mark.parametrize("n", [1, 2, 97, MAX_SQUARE, MAX_SQUARE + 1, 10 ** 12, (1 << 53) + 5, (1 << 62) - 57, 1 << 62])
+def test_wide_modular_product(spark, n):
+    rng = random.Random(n)
+    xs = [0, n - 1] + [rng.randrange(n) for _ in range(40)]
+    ab = [(n - 1, n - 1), (1 % n, 0)] + [(rng.randrange(n), rng.randrange(n)) for _ in range(4)]
+    df = spark.createDataFrame([(x,) for x in xs], "x long")
+    for a, b in ab:
+        got = [r.h for r in df.select("x", universal_hash(F.col("x"), a, b, n).alias("h")).collect()]
+        assert got == [(a * x + b) % n for x in xs]
+    with pytest.raises(ValueError):
+        universal_hash(F.col("x"), 1, 1, (1 << 62) + 1)
