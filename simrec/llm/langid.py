@@ -1,9 +1,11 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts hashed n-grams per language on a bounded sample (a Bernoulli sample of
-``max_train`` expected texts, ``TRAIN_CHARS`` characters of each); the add-one smoothed log-probability matrix
-(languages x buckets) is broadcast. Scoring is a sparse product in numpy: a text's
-n-gram counts times the matrix. The whole text is scored; only training is bounded.
+Training counts hashed n-grams per language on a bounded sample of rows, drawn per language
+(``PER_LABEL`` expected texts of each, all of a rarer one), whole texts; so a language of few
+rows is learned at every size. The priors are the languages' shares of all labelled rows. The
+matrix of add-one smoothed log-probabilities (languages x buckets) and log priors is
+broadcast. Scoring is a sparse product in numpy: a text's n-gram counts times the matrix,
+plus the prior. The whole text is scored; only the number of training rows is bounded.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0.0, and so
 is every text if there is nothing to learn from; equal scores go to the first label in
@@ -25,9 +27,9 @@ from .common import arrow_batches, pick
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
-#: bounds of the training sample
-MAX_TRAIN, TRAIN_CHARS = 20_000, 2_000
-#: the matrix has at most so many rows of ``BUCKETS`` floats (64 MB)
+#: expected rows of each language in the training sample
+PER_LABEL = 5_000
+#: the matrix has at most so many rows of ``BUCKETS`` floats and a prior (64 MB)
 MAX_LABELS = 256
 _LETTER = re.compile(r"[^\W\d_]")
 _MIX = np.uint32(0x9E3779B1)
@@ -49,16 +51,19 @@ def _hashes(text: str) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def train(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN):
+def train(docs: DataFrame, label: str = "lang", per_label: int = PER_LABEL):
     """``(labels, log_prob)`` from ``text`` and ``label`` of ``docs``; rows whose text or
-    label is null teach nothing. ``log_prob`` is a float32 array (labels, BUCKETS)."""
-    rows = pick(docs, "text", label).where(F.col("text").isNotNull() & F.col(label).isNotNull())
-    n = rows.count()
-    if not n:
-        return [], np.zeros((0, BUCKETS), np.float32)
+    label is null teach nothing. ``log_prob`` is a float32 array (labels, BUCKETS + 1): its last
+    column holds the log priors."""
+    rows = pick(docs, "text", label).toDF("text", "label").where("text is not null and label is not null")
+    held = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n")).limit(MAX_LABELS + 1).collect()}
+    if len(held) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels, the model's bound")
+    if not held:
+        return [], np.zeros((0, BUCKETS + 1), np.float32)
     arrow_batches(docs.sparkSession)
-    some = rows.sample(min(1.0, max_train / n), seed=5).select(
-        F.substring("text", 1, TRAIN_CHARS).alias("text"), F.col(label).alias("label"))
+    some = rows.sampleBy("label", {k: min(1.0, per_label / n) for k, n in held.items()}, seed=5)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -75,15 +80,16 @@ def train(docs: DataFrame, label: str = "lang", max_train: int = MAX_TRAIN):
     counts = (some.mapInArrow(count, "label string, bucket int, n long")
                   .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
     by_label = counts.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))
-    got = sorted(by_label.collect(), key=lambda r: r.label.encode())
-    if len(got) > MAX_LABELS:
-        raise ValueError(f"{len(got)} labels; the model's bound is {MAX_LABELS}")
-    log_prob = np.empty((len(got), BUCKETS), np.float32)
-    for i, r in enumerate(got):
+    counts = {r.label: r.c for r in by_label.collect()}
+    labels = sorted(held, key=str.encode)
+    log_prob = np.empty((len(labels), BUCKETS + 1), np.float32)
+    for i, name in enumerate(labels):
         own = np.ones(BUCKETS)
-        own[[x.bucket for x in r.c]] += [x.n for x in r.c]
-        log_prob[i] = np.log(own / own.sum())
-    return [r.label for r in got], log_prob
+        for x in counts.get(name, ()):
+            own[x.bucket] += x.n
+        log_prob[i, :-1] = np.log(own / own.sum())
+        log_prob[i, -1] = np.log(held[name] / sum(held.values()))
+    return labels, log_prob
 
 
 def predict(docs: DataFrame, labels: list[str], log_prob: np.ndarray) -> DataFrame:
@@ -109,6 +115,7 @@ def predict(docs: DataFrame, labels: list[str], log_prob: np.ndarray) -> DataFra
                 else:
                     at = np.flatnonzero(times)
                     total = times[at] @ weights[at].astype(np.float64)
+                total = total + weights[-1]
                 i = int(np.argmax(total))
                 best.append(names[i])
                 score.append(float(1.0 / np.exp(total - total[i]).sum()))

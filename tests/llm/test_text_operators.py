@@ -1,4 +1,5 @@
 """Brute-force and edge-case tests of the row-wise and statistical operators."""
+import math
 import random
 import re
 from collections import Counter
@@ -137,7 +138,6 @@ def test_language_id(spark):
 
 
 def test_language_id_scores_equal_brute_force(make_docs):
-    import math
     rows = [(0, "aab", "s", "x"), (1, "bba", "s", "y"), (2, "ab", "s", None), (3, None, "s", "x")]
     labels, log_prob = langid.train(make_docs(rows))
     assert labels == ["x", "y"]
@@ -152,6 +152,28 @@ def test_language_id_scores_equal_brute_force(make_docs):
     assert got.lang_pred == "x" and got.score == pytest.approx(want, rel=1e-3)
 
 
+def test_language_id_learns_a_rare_label_among_many_rows(spark):
+    """30 rows of one language among 100,000, and the priors decide where the text says nothing."""
+    common = spark.range(100_000).select(
+        F.concat(F.lit("the cat and the dog of "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    rare = spark.range(30).select(F.concat(F.lit("zwölf Bäume grünen über "), F.col("id")).alias("text"),
+                                  F.lit("de").alias("lang"))
+    labels, log_prob = langid.train(common.unionByName(rare))
+    assert labels == ["de", "en"]
+    assert log_prob[:, -1].tolist() == pytest.approx([math.log(30 / 100_030), math.log(100_000 / 100_030)], rel=1e-4)
+    test = spark.createDataFrame([(1, "grüne Bäume über zwölf"), (2, "the dog and the cat")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(test, labels, log_prob).collect()}
+    assert got == {1: "de", 2: "en"}
+
+
+def test_language_id_reads_whole_training_texts(make_docs):
+    licence = "permission is granted " * 400
+    rows = [(0, licence + "zwölf grüne Bäume " * 300, "s", "de"), (1, licence + "the old trees " * 300, "s", "en")]
+    labels, log_prob = langid.train(make_docs(rows))
+    got = langid.predict(make_docs([(2, "grüne Bäume"), (3, "old trees")]), labels, log_prob).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {2: "de", 3: "en"}
+
+
 def test_language_id_odd_rows(make_docs, odd_rows, clash):
     df = make_docs(odd_rows + [(20, "123 !?")], clash)
     labels, log_prob = langid.train(df)
