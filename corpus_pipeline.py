@@ -3,6 +3,14 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. All but the last
 return the columns of ``documents``; the last adds ``copy_no``, the number of a
 document's copy in the mix.
+
+Edge cases, the same in every stage: rows are told apart by id and text, ids may be null or
+repeated; a null, empty or blank text has no word and is rejected by the quality rules, and a
+stage called on its own keeps it (mixing does so as any other row of size 0, so without
+copies if the rate's draw says so); very long texts are read whole; repeated rows share every
+decision (SimHash keeps one of them); an empty table gives an empty result with the same
+columns; further columns are handed on as they are, also where their names clash with those of
+``documents`` or of an operator in another case. ``n_chars`` is set anew by the line dedup.
 """
 
 from __future__ import annotations
@@ -10,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simrec.llm.common import checkpoint, table
+from simrec.llm.common import Frame, checkpoint, table
 from simrec.llm.decontaminate import decontaminate
 from simrec.llm.line_dedup import dedup_lines
 from simrec.llm.mixing import mix_sources
@@ -25,7 +33,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that are similar to an earlier line."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    f = Frame(dedup_lines(docs))
+    if "n_chars" not in f.names:
+        return f.restore(f.df)
+    return f.restore(f.df.withColumn(f"_in{f.names.index('n_chars')}", F.length(f["text"]).cast("long")))
 
 
 def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
