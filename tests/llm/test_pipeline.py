@@ -2,6 +2,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from simrec.llm import decontaminate, quality, simhash
@@ -77,3 +78,51 @@ def test_mix(stages, spark):
     assert max(per_doc.values()) <= 2
     assert sum(taken.values()) == pytest.approx(1.5 * sum(sizes.values()), rel=0.1)
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, SF).collect()) == per_doc
+
+
+@pytest.fixture
+def odd_docs(make_docs, odd_rows):
+    """Rows that pass the quality rules among odd ones, with names that clash."""
+    import random
+
+    from .conftest import words
+    rng = random.Random(12)
+    good = [(100 + i, "\n".join(" ".join(words(rng, 30, 3_000)) for _ in range(4))) for i in range(6)]
+    rows = odd_rows + good + [good[0], (None, good[1][1]), (200, good[2][1] + "\n" + good[3][1])]
+    clashing = ("TEXT", "N_CHARS", "Doc_ID", "copies", "fp", "_in0", "pos")
+    return make_docs(rows).select("*", *[F.lit("clash").alias(name) for name in clashing])
+
+
+def _plain(df):
+    """Rows by the exact names of ``documents``."""
+    at = [df.columns.index(c) for c in ("doc_id", "text", "n_chars")]
+    return [tuple(r[i] for i in at) for r in df.collect()]
+
+
+def test_stages_in_a_row_on_odd_documents(spark, odd_docs):
+    docs = odd_docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF).checkpoint()
+        kept = _plain(out)
+        assert kept, name
+        if name != "mix_sources":
+            assert out.columns == docs.columns, name
+        if name == "line_dedup":
+            assert all(n == len(t) for _, t, n in kept)
+        elif name != "mix_sources":
+            assert not Counter((d, t) for d, t, _ in kept) - Counter((d, t) for d, t, _ in _plain(docs)), name
+        for i in (out.columns.index("TEXT"), out.columns.index("N_CHARS")):
+            assert {r[i] for r in out.collect()} == {"clash"}
+        docs = out
+    assert {100, 101} & {d for d, _, _ in _plain(docs)}
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_each_stage_on_odd_and_empty_documents(spark, odd_docs, name, stage):
+    out = stage(spark, odd_docs, SF)
+    assert out.columns[:len(odd_docs.columns)] == odd_docs.columns
+    rows = Counter(d for d, _, _ in _plain(out))
+    if name in ("line_dedup", "decontaminate"):
+        assert rows == Counter(d for d, _, _ in _plain(odd_docs))
+    empty = stage(spark, odd_docs.limit(0), SF)
+    assert empty.columns == out.columns and empty.count() == 0
