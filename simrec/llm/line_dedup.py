@@ -10,9 +10,10 @@ word are kept.
    Only the prefix of a line, its ``m - ceil(4m/5) + 1`` rarest tokens, is posted,
    because similar lines share a token of their prefixes. Postings are bucketed by
    token once; tokens of one line only are dropped.
-3. Leaders first: a line is verified against the line that comes first, or just
-   before it, under several of its tokens. This decides the members of a group of n
-   near copies with n pairs instead of n^2.
+3. Leaders first: a line is verified against the lines that come first, or just
+   before it, under several of its tokens, at most four of them. This decides the members of
+   a group of n near copies with 4n pairs instead of n^2: a member that has drifted from
+   one leader is mostly similar to another.
 4. Lines that are still undecided meet all earlier lines under their tokens, through
    length and positional filters and a bitmap of their tokens' parities; the prefix tokens that a pair shares, and what can
    follow the last of them, must reach the overlap. Survivors are verified on the
@@ -21,8 +22,8 @@ word are kept.
 Edge cases: null texts have no lines and stay null; blank lines stay; rows that
 agree in id and text are one document (their lines do not remove each other);
 a document whose lines all go keeps its row with the lines that have no word; an
-empty table gives an empty result. Extra columns are handed on. Line numbers must
-stay below 2^27.
+empty table gives an empty result. Extra columns are handed on. A text of 2^27 lines or
+more is an error.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ NUM, DEN = 4, 5
 _LINE_BITS = 27
 _DOC_LIMIT = 1 << (62 - _LINE_BITS)
 _RARITY_BITS, _HASH_BITS = 16, 47
-#: every so many-th prefix token looks for leaders
-_PROBE = 4
+#: every so many-th prefix token looks for leaders; a line is verified against so many of them
+_PROBE, _LEADERS = 4, 4
 
 
 def _ceil_div(a: Column, b: int) -> Column:
@@ -83,7 +84,9 @@ def numbered(f: Frame) -> tuple[DataFrame, DataFrame]:
 def _lines(docs: DataFrame, text: Column) -> DataFrame:
     """``pos, line`` for every line with a word; ``pos`` orders all lines."""
     rows = docs.select("_dn", F.posexplode(F.split(text, "\n")).alias("_i", "line"))
-    pos = F.shiftleft("_dn", _LINE_BITS).bitwiseOR(F.col("_i").cast("long"))
+    fits = F.when(F.col("_i") < 1 << _LINE_BITS, F.col("_i")).otherwise(
+        F.raise_error(F.lit("a text has more lines than a line number holds")).cast("int"))
+    pos = F.shiftleft("_dn", _LINE_BITS).bitwiseOR(fits.cast("long"))
     return rows.select(pos.alias("pos"), "line").where(F.col("line").rlike(f"[^{WS}]"))
 
 
@@ -141,7 +144,7 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _led(posted: DataFrame) -> DataFrame:
-    """Step 3: for each line the earlier line that leads or precedes it most often."""
+    """Step 3: for each line the earlier lines that lead or precede it most often."""
     w = Window.partitionBy("tok").orderBy("pos")
     line = F.struct(F.col("pos").alias("y"), F.col("m").alias("my"))
     first = F.first(line).over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -151,8 +154,10 @@ def _led(posted: DataFrame) -> DataFrame:
         (F.col("y") < F.col("x")) & _near_sizes(F.col("m"), F.col("my")))
     counts = (some.repartition("x").groupBy("x", "y", "m").agg(F.count(F.lit(1)).alias("c"))
                   .where(F.col("c") * 2 >= _ceil_div(_prefix_size(F.col("m")), _PROBE)))
-    best = counts.groupBy("x").agg(F.max(F.struct("c", (-F.col("y")).alias("y"))).alias("b"))
-    return best.select("x", (-F.col("b.y")).alias("y"))
+    # a line has two candidates per probing token
+    found = F.sort_array(F.collect_list(F.struct("c", (-F.col("y")).alias("y"))), asc=False)
+    best = counts.groupBy("x").agg(F.slice(found, 1, _LEADERS).alias("b"))
+    return best.select("x", F.explode("b.y").alias("y")).select("x", (-F.col("y")).alias("y"))
 
 
 def _met(posted: DataFrame, decided: DataFrame) -> DataFrame:
