@@ -11,8 +11,9 @@ from simrec.plans.queries import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "MapInArrow", "MapInPandas")
-BUCKET_PAIRS = {"lsh_candidates", "lsh_candidates_train", "similar_items_lsh", "lsh_pair_metrics"}
-PREFIX_PAIRS = {"exact_jaccard_pairs", "item_jaccard_exact", "lsh_pair_metrics"}
+BUCKET_PAIRS = {"lsh_candidates", "lsh_candidates_train", "similar_items_lsh", "lsh_pair_metrics",
+                "candidate_adjacency", "item_jaccard_nested"}
+PREFIX_PAIRS = {"exact_jaccard_pairs", "item_jaccard_exact", "lsh_pair_metrics", "similar_pairs_file"}
 
 
 def _plan(df):
