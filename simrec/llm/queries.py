@@ -239,37 +239,31 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               table(spark, sf_dir, "benchmark"))
 
 
-def _masked(words: str, at: str) -> str:
-    """One text per mask: its number and the tokens it looks at."""
-    return "[" + ", ".join(
-        f"'{k}|' || " + " || ' ' || ".join(f"{words}[{at} + {o + 1}]" for o, b in enumerate(m) if b == "1")
-        for k, m in enumerate(decontaminate.MASKS)) + "]"
-
-
 def leaks_sql(documents: str = "documents") -> str:
-    """CTEs up to ``leaks`` (rid, item_id) and ``numbered`` (rid and the rows)."""
-    span = len(decontaminate.MASKS[0])
+    """CTEs up to ``leaks`` (rid, item_id) and ``numbered`` (rid and the rows).
+
+    No seed of the operator is used: every alignment with two neighbouring tokens alike (or the
+    one token of an item) is compared whole, and every window of it counted. At 16 of 20 tokens
+    at least four neighbours agree, and of fewer tokens at least two.
+    """
     return rf"""numbered AS (SELECT row_number() OVER () AS rid, * FROM {documents}),
 dw AS (SELECT rid, regexp_extract_all(lower(text), '{W}') AS w FROM numbered WHERE text IS NOT NULL),
 bw AS (SELECT row_number() OVER () AS bid, item_id, regexp_extract_all(lower(text), '{W}') AS w
        FROM benchmark WHERE text IS NOT NULL),
-dpos AS (SELECT rid, i, unnest({_masked("w", "i")}) AS seed FROM
-  (SELECT rid, w, unnest(range(0, len(w) - {span - 1})) AS i FROM dw WHERE len(w) >= {span})),
-bpos AS (SELECT bid, j, unnest({_masked("w", "j")}) AS seed FROM
-  (SELECT bid, w, unnest(range(0, len(w) - {span - 1})) AS j FROM bw WHERE len(w) >= {span})),
-hits AS (SELECT DISTINCT rid, bid, i, j FROM dpos JOIN bpos USING (seed)),
-spots AS (
-  SELECT rid, bid, size, start, i - (j - start) AS begin FROM (
-    SELECT rid, bid, i, j, least({decontaminate.WINDOW}, len(bw.w)) AS size,
-      least(greatest(j + {span // 2} - least({decontaminate.WINDOW}, len(bw.w)) // 2, 0),
-            len(bw.w) - least({decontaminate.WINDOW}, len(bw.w))) AS start
-    FROM hits JOIN bw USING (bid))),
-leaks AS (
-  SELECT DISTINCT rid, item_id FROM (SELECT DISTINCT * FROM spots) JOIN dw USING (rid) JOIN bw USING (bid)
-  WHERE len(list_filter(range(0, size), lambda k: begin + k >= 0 AND
-      coalesce(dw.w[(CASE WHEN begin + k >= 0 THEN begin + k + 1 ELSE len(dw.w) + 1 END)::BIGINT]
-               = bw.w[(start + k + 1)::BIGINT], false)))
-    >= ceil(size * {decontaminate.MIN_MATCH}::DOUBLE))"""
+dt AS (SELECT rid, unnest(w) AS tok, unnest(w[2:]) AS after, unnest(range(0, len(w))) AS i FROM dw),
+bt AS (SELECT bid, len(w) AS items, unnest(w) AS tok, unnest(w[2:]) AS after,
+       unnest(range(0, len(w))) AS j FROM bw),
+aligned AS (
+  SELECT rid, bid, i - j AS d FROM dt JOIN bt ON dt.tok = bt.tok AND dt.after = bt.after
+  UNION
+  SELECT rid, bid, i - j AS d FROM dt JOIN bt ON dt.tok = bt.tok AND bt.items = 1),
+alike AS (
+  SELECT rid, bid, least({decontaminate.WINDOW}, items) AS size, count(*) OVER (
+           PARTITION BY rid, bid, d ORDER BY j RANGE BETWEEN {decontaminate.WINDOW - 1} PRECEDING AND CURRENT ROW) AS same
+  FROM aligned JOIN bt USING (bid) JOIN dt USING (rid)
+  WHERE dt.i = d + j AND dt.tok = bt.tok),
+leaks AS (SELECT DISTINCT rid, item_id FROM alike JOIN bw USING (bid)
+          WHERE same >= ceil(size * {decontaminate.MIN_MATCH}::DOUBLE))"""
 
 
 OP8_SQL = f"""

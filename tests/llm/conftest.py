@@ -1,4 +1,6 @@
+import math
 import random
+from collections import defaultdict
 
 import pytest
 
@@ -9,6 +11,23 @@ def words(rng, n, vocab=400):
     return [f"w{int(rng.paretovariate(0.7)) % vocab}x" for _ in range(n)]
 
 
+def leaks(text, items, window=20, min_match=0.8):
+    """The items of which some window agrees in some alignment: every one is counted, without seeds."""
+    at, out = defaultdict(list), set()
+    for i, t in enumerate((text or "").lower().split()):
+        at[t].append(i)
+    for item, t in items:
+        b = (t or "").lower().split()
+        n, alike = min(window, len(b)), defaultdict(list)
+        for j, t in enumerate(b):
+            for i in at.get(t, ()):
+                alike[i - j].append(j)
+        need = math.ceil(n * min_match)
+        if any(sum(end - n < j <= end for j in js) >= need for js in alike.values() for end in js):
+            out.add(item)
+    return out
+
+
 @pytest.fixture
 def make_docs(spark):
     """Rows (doc_id, text[, source[, lang]]) as a documents table."""

@@ -8,29 +8,16 @@ import pytest
 
 from simrec.llm import decontaminate
 
+from .conftest import leaks
+
 W = decontaminate.WINDOW
 ITEM = "item_id long, text string"
 
 
-def brute(text, items):
-    """The items of which some aligned window agrees; no seed is involved."""
-    w, out = (text or "").lower().split(), set()
-    for item, t in items:
-        b = (t or "").lower().split()
-        n = min(W, len(b))
-        need = math.ceil(n * decontaminate.MIN_MATCH)
-        for d in range(-len(b) + 1, len(w) if n else 0):
-            same = [0 <= d + k < len(w) and w[d + k] == b[k] for k in range(len(b))]
-            if any(sum(same[s:s + n]) >= need for s in range(len(b) - n + 1)):
-                out.add(item)
-                break
-    return out
-
-
 def compare(make_docs, spark, rows, items):
     bench = spark.createDataFrame(items, ITEM)
     got = decontaminate.contamination_report(make_docs(rows), bench).collect()
-    want = {d: ",".join(map(str, sorted(brute(t, items)))) for d, t in rows}
+    want = {d: ",".join(map(str, sorted(leaks(t, items)))) for d, t in rows}
     assert {r.doc_id: r["items"] for r in got} == want
     kept = decontaminate.decontaminate(make_docs(rows), bench).collect()
     assert Counter(r.doc_id for r in kept) == Counter(d for d, _ in rows if not want[d])
@@ -47,10 +34,25 @@ def in_noise(d, part):
 
 @pytest.mark.parametrize("size", range(1, W + 1))
 def test_no_pattern_lacks_a_seed(size):
+    """By enumeration of every way to substitute as many tokens as the threshold allows."""
     wrong = size - math.ceil(size * decontaminate.MIN_MATCH)
-    run = decontaminate.seed_tokens(size)
-    for at in itertools.combinations(range(size), wrong):
-        assert max(map(len, "".join("x" if k in at else "1" for k in range(size)).split("x"))) >= run
+    mask = decontaminate.MASKS[decontaminate.mask_number(size)]
+    places = [{at + k for k, bit in enumerate(mask) if bit == "1"} for at in range(size - len(mask) + 1)]
+    assert all(any(not place & set(gone) for place in places)
+               for gone in itertools.combinations(range(size), wrong))
+    assert "0" in mask or size < 3
+
+
+@pytest.mark.parametrize("mask, size", [("11101", 9), ("1101", 8), ("101", 7), ("11", 6), ("1", 4), ("1101", 3)])
+def test_fewest_spoiling(mask, size):
+    places = [{at + k for k, bit in enumerate(mask) if bit == "1"} for at in range(size - len(mask) + 1)]
+    want = next(n for n in range(size + 1) for gone in itertools.combinations(range(size), n)
+                if all(place & set(gone) for place in places))
+    assert decontaminate.fewest_spoiling(mask, size) == want
+
+
+def test_full_windows_take_a_spaced_mask():
+    assert decontaminate.MASKS[decontaminate.mask_number(decontaminate.WINDOW)] == "11101"
 
 
 def test_allowed_substitutions_are_found(make_docs, spark):

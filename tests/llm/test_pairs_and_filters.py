@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from simrec.llm import chat, decontaminate, simhash, url_filter
 from simrec.llm.components import connected_components
 
-from .conftest import words
+from .conftest import leaks, words
 
 
 def _roots(edges):
@@ -128,26 +128,11 @@ def test_url_rules_and_aliases(spark):
     assert {r.verdict for r in url_filter.judge_pages(df, ()).collect()} == {"allow"}
 
 
-def _leaks(text, items):
-    w, span, out = (text or "").lower().split(), len(decontaminate.MASKS[0]), set()
-    for item, t in items:
-        b = (t or "").lower().split()
-        for m in decontaminate.MASKS:
-            for i in range(len(w) - span + 1):
-                for j in range(len(b) - span + 1):
-                    if all(w[i + o] == b[j + o] for o in range(span) if m[o] == "1"):
-                        n = min(decontaminate.WINDOW, len(b))
-                        s = min(max(j + span // 2 - n // 2, 0), len(b) - n)
-                        at = i - (j - s)
-                        same = sum(0 <= at + k < len(w) and w[at + k] == b[s + k] for k in range(n))
-                        if same >= decontaminate.MIN_MATCH * n:
-                            out.add(item)
-    return out
-
-
-@pytest.mark.parametrize("block", [50_000, 40])
-def test_decontamination(make_docs, spark, odd_rows, clash, monkeypatch, block):
+@pytest.mark.parametrize("block, passes", [(50_000, 8), (100, 8), (40, 2)])
+def test_decontamination(make_docs, spark, odd_rows, clash, monkeypatch, block, passes):
+    """One broadcast, several, and the shuffle join of a large benchmark."""
     monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", block)
+    monkeypatch.setattr(decontaminate, "MAX_BLOCKS", passes)
     rng = random.Random(8)
     items = [(i, " ".join(words(rng, rng.randint(8, 40), 2000))) for i in range(12)] + [(90, None), (91, "a b")]
     rows = list(odd_rows)
@@ -162,11 +147,11 @@ def test_decontamination(make_docs, spark, odd_rows, clash, monkeypatch, block):
         rows.append((100 + i, " ".join(w)))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("W", F.lit(0))
     got = decontaminate.contamination_report(make_docs(rows, clash), bench).collect()
-    want = Counter((d, ",".join(map(str, sorted(_leaks(t, items))))) for d, t in rows)
+    want = Counter((d, ",".join(map(str, sorted(leaks(t, items))))) for d, t in rows)
     assert Counter((r.doc_id, r["items"]) for r in got) == want
     assert all(r.contaminated == (r.n_items > 0) for r in got) and any(r.contaminated for r in got)
     kept = decontaminate.decontaminate(make_docs(rows, clash), bench)
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, t in rows if not _leaks(t, items))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, t in rows if not leaks(t, items))
     assert decontaminate.decontaminate(make_docs(rows), bench.limit(0)).count() == len(rows)
     assert decontaminate.contamination_report(make_docs(rows).limit(0), bench).count() == 0
 

@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from simrec.llm import decontaminate, quality, simhash
+from simrec.llm import quality, simhash
 
+from .conftest import leaks
 from .test_line_dedup import _want as kept_lines
-from .test_pairs_and_filters import _fp, _leaks, _roots
+from .test_pairs_and_filters import _fp, _roots
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,19 +52,8 @@ def test_one_document_of_each_class(stages):
 
 def test_decontamination(stages, spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    seeds = set()
-    for _, t in items:
-        b = t.lower().split()
-        for m in decontaminate.MASKS:
-            for j in range(len(b) - len(m) + 1):
-                seeds.add((m, tuple(b[j + o] for o in range(len(m)) if m[o] == "1")))
-
-    def may_hit(t):
-        w = t.lower().split()
-        return any((m, tuple(w[i + o] for o in range(len(m)) if m[o] == "1")) in seeds
-                   for m in decontaminate.MASKS for i in range(len(w) - len(m) + 1))
     want = Counter((r.doc_id, r.text) for r in stages[3].collect()
-                   if not (may_hit(r.text) and _leaks(r.text, items)))
+                   if not leaks(r.text, items))
     assert _rows(stages[4]) == want and len(want) < stages[3].count()
 
 
