@@ -180,20 +180,21 @@ def _url_parts(url: str) -> str:
             f"coalesce(regexp_extract({url}, '{rx}', 3), '') AS query")
 
 
-def _tag(before: str, inside: str, value: str) -> str:
-    """First tag of a kind, then the wanted attribute (RE2 has no look-ahead)."""
+def _tags(before: str, inside: str, value: str) -> str:
+    """The tags of a kind, then the wanted attribute of each (RE2 has no look-ahead)."""
     tags = f"regexp_extract_all(html, '(?is)<{before}\\b[^>]*>')"
-    tag = f"list_filter({tags}, lambda t: regexp_matches(t, '(?is){inside}'))[1]"
-    return f"regexp_extract(coalesce({tag}, ''), '(?is){value}', 1)"
+    tags = f"list_filter({tags}, lambda t: regexp_matches(t, '(?is){inside}'))"
+    return f"unnest(list_transform({tags}, lambda t: regexp_extract(t, '(?is){value}', 1)))"
 
 
 _Q = """["'']?"""
 OP4_SQL = f"""
 WITH RECURSIVE rules AS ({_RULES_SQL}),
-hrefs AS (
-  SELECT url, {_tag("link", f"rel\\s*=\\s*{_Q}canonical", f"href\\s*=\\s*{_Q}([^''\"\\s>]+)")} AS href FROM pages
+tags AS (
+  SELECT url, {_tags("link", f"rel\\s*=\\s*{_Q}canonical", f"href\\s*=\\s*{_Q}([^''\"\\s>]+)")} AS href FROM pages
   UNION ALL
-  SELECT url, {_tag("meta", f"http-equiv\\s*=\\s*{_Q}refresh", f"url\\s*=\\s*{_Q}([^''\"\\s>]+)")} FROM pages),
+  SELECT url, {_tags("meta", f"http-equiv\\s*=\\s*{_Q}refresh", f"url\\s*=\\s*{_Q}([^''\"\\s>]+)")} FROM pages),
+hrefs AS (SELECT url, regexp_replace(href, '&(amp|#38|#x26);', '&', 'gi') AS href FROM tags),
 targets AS (
   SELECT url, CASE WHEN contains(href, '://') THEN href
     WHEN starts_with(href, '//') THEN regexp_extract(url, '^([^:/?#]*)://', 1) || ':' || href
@@ -204,10 +205,13 @@ targets AS (
       ELSE regexp_extract(path, '^(.*/)', 1) END || href END AS target
   FROM (SELECT url, href, {_url_parts("url")} FROM hrefs WHERE href <> '' AND url IS NOT NULL)),
 edges AS (
-  SELECT a, b FROM (
-    SELECT (SELECT host || path || query FROM (SELECT {_url_parts("url")})) AS a,
-           (SELECT host || path || query FROM (SELECT {_url_parts("target")})) AS b FROM targets)
-  WHERE a <> b AND a <> '' AND b <> ''),
+  SELECT a, host || CASE WHEN regexp_matches(path, '/[.][.]?(/|$)') THEN
+      list_reduce(string_split(path, '/'), lambda done, part: CASE part WHEN '.' THEN done
+        WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || part END)
+      || CASE WHEN regexp_matches(path, '/[.][.]?$') THEN '/' ELSE '' END ELSE path END || query AS b
+  FROM (SELECT (SELECT host || path || query FROM (SELECT {_url_parts("url")})) AS a,
+               {_url_parts("target")} FROM targets)
+  WHERE a <> '' AND host <> '' AND a <> b),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach AS (SELECT a AS node, a AS other FROM both_ways
           UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a),

@@ -8,7 +8,9 @@ Pages that redirect (``<meta http-equiv=refresh>``) or name a canonical address
 (``<link rel=canonical>``) are aliases of their target. Components over these edges
 propagate block decisions to aliases that no rule fits; an explicit allow of any
 member takes precedence over propagated blocks, and a URL's own rule over both.
-A node is an address without scheme and fragment.
+A node is an address without scheme and fragment. Every such tag of a page counts; in its
+address ``&amp;`` stands for ``&``, and the segments ``.`` and ``..`` are resolved. Pages'
+own addresses are taken as they are.
 
 Edge cases: a null URL, or one without ``://``, has empty host and path, fits no
 rule and has no alias, so it is allowed; a null page body has no edge; repeated
@@ -52,10 +54,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _AFTER_SCHEME, 2), F.lit(""))
 
 
-def node_of(url: Column) -> Column:
-    """Lower-cased host, path and query; null without a host."""
-    node = F.concat(host_of(url), path_of(url), F.regexp_extract(url, _AFTER_SCHEME, 3))
-    return F.when(host_of(url) != "", node)
+def query_of(url: Column) -> Column:
+    return F.coalesce(F.regexp_extract(url, _AFTER_SCHEME, 3), F.lit(""))
+
+
+def node_of(host: Column, path: Column, query: Column) -> Column:
+    """Host, path and query as one text; null without a host."""
+    return F.when(host != "", F.concat(host, path, query))
 
 
 def best_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
@@ -72,28 +77,45 @@ def best_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
     return F.greatest(*fits) if len(fits) > 1 else fits[0]
 
 
-def _target(url: Column, href: Column) -> Column:
-    """``href`` made absolute against ``url``."""
-    scheme = F.regexp_extract(url, r"^([^:/?#]*)://", 1)
-    base = F.concat(scheme, F.lit("://"), host_of(url))
-    folder = F.regexp_extract(path_of(url), r"^(.*/)", 1)
-    return (F.when(href == "", None).when(href.contains("://"), href)
+def _target(scheme: Column, host: Column, path: Column, href: Column) -> Column:
+    """``href`` made absolute against a page's address; null where it stays on the page."""
+    base = F.concat(scheme, F.lit("://"), host)
+    folder = F.regexp_extract(path, r"^(.*/)", 1)
+    return (F.when((href == "") | href.startswith("#"), None).when(href.contains("://"), href)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
             .when(href.startswith("/"), F.concat(base, href))
-            .when(href.startswith("#"), None)
-            .when(href.startswith("?"), F.concat(base, path_of(url), href))
+            .when(href.startswith("?"), F.concat(base, path, href))
             .otherwise(F.concat(base, F.when(folder == "", F.lit("/")).otherwise(folder), href)))
 
 
+def _without_dots(path: Column) -> Column:
+    """``path`` with its segments ``.`` and ``..`` resolved."""
+    parts = F.slice(F.split(path, "/"), F.lit(2), F.size(F.split(path, "/")))
+    joined = F.aggregate(parts, F.lit(""), lambda done, part: (
+        F.when(part == ".", done).when(part == "..", F.regexp_replace(done, "/[^/]*$", ""))
+        .otherwise(F.concat(done, F.lit("/"), part))))
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(joined, end)).otherwise(path)
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
     """``(a, b)``: a page's node and the node it redirects to or names as canonical."""
     rows = pick(pages, "url", "html").where("url is not null and html is not null")
-    hrefs = rows.select("url", F.explode(F.array(F.regexp_extract("html", _CANONICAL, 1),
-                                                 F.regexp_extract("html", _REFRESH, 1))).alias("href"))
     url = F.col("url")
-    edges = hrefs.where("href != ''").select(node_of(url).alias("a"),
-                                             node_of(_target(url, F.col("href"))).alias("b"))
-    return edges.where("a is not null and b is not null and a != b")
+    # The parts of an address are columns of their own, one step after the other: nested in one
+    # expression they would be repeated until the generated code no longer compiles.
+    rows = rows.select("html", F.regexp_extract(url, r"^([^:/?#]*)://", 1).alias("scheme"),
+                       host_of(url).alias("host"), path_of(url).alias("path"), query_of(url).alias("query"))
+    tags = F.concat(*[F.regexp_extract_all("html", F.lit(rx), F.lit(1)) for rx in (_CANONICAL, _REFRESH)])
+    hrefs = rows.select(node_of(F.col("host"), F.col("path"), F.col("query")).alias("a"),
+                        "scheme", "host", "path", F.explode(F.array_distinct(tags)).alias("href"))
+    href = F.regexp_replace("href", "(?i)&(amp|#38|#x26);", "&")
+    to = hrefs.select("a", _target(*map(F.col, ("scheme", "host", "path")), href).alias("to"))
+    to = to.where("a is not null and to is not null")
+    parts = to.select("a", host_of(F.col("to")).alias("host"), path_of(F.col("to")).alias("path"),
+                      query_of(F.col("to")).alias("query"))
+    edges = parts.select("a", node_of(F.col("host"), _without_dots(F.col("path")), F.col("query")).alias("b"))
+    return edges.where("b is not null and a != b")
 
 
 def judge_pages(pages: DataFrame, rules: Sequence[UrlRule]) -> DataFrame:
@@ -109,7 +131,8 @@ def judge_pages(pages: DataFrame, rules: Sequence[UrlRule]) -> DataFrame:
                .select(F.col("node").alias("_node")))
     url = F.col("url")
     rows = pick(pages, "page_id", "url").select(
-        "page_id", host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node"))
+        "page_id", host_of(url).alias("host"), path_of(url).alias("path"), query_of(url).alias("query"))
+    rows = rows.withColumn("node", node_of(F.col("host"), F.col("path"), F.col("query")))
     rows = rows.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     rows = rows.join(small_side(blocked), F.col("node") == F.col("_node"), "left")
     verdict = (F.when(F.col("best").isNotNull(), F.col("best.allow") == 1)

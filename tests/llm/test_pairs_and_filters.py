@@ -2,6 +2,7 @@
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from simrec.llm import chat, decontaminate, simhash, url_filter
 from simrec.llm.components import connected_components
+from simrec.llm.queries import LLM_ORACLE, URL_RULES
 
 from .conftest import leaks, words
 
@@ -128,6 +130,41 @@ def test_url_rules_and_aliases(spark):
     assert {r.verdict for r in url_filter.judge_pages(df, ()).collect()} == {"allow"}
 
 
+ALIASES = [
+    ('<link rel=canonical href=http://y.net/1><link rel="canonical" href="http://x.com/de/1">', True),  # every tag
+    ('<link rel="stylesheet" href="http://x.com/de/1">', False),
+    ('<link href="../../de/./2" rel="canonical">', True),
+    ('<link href="./../up/../../de/2/x/.." rel="canonical">', True),
+    ('<link href="../../../../de/2/" rel="canonical">', True),
+    ('<link href="?a=1&amp;b=/../2" rel="canonical">', True),
+    ('<meta http-equiv="refresh" content="5; url=/q?c=1&#38;d=2">', True),
+    ('<meta http-equiv="refresh" content="5; url=/q?c=1">', False),
+    ('<link href="#top" rel="canonical"><link href="" rel="canonical">', False), ("", False), (None, False)]
+
+
+def _alias_pages(spark):
+    to = '<link rel="canonical" href="http://x.com/de/1">'
+    rows = [(k, f"http://h{k}.net/a/b/page", html) for k, (html, _) in enumerate(ALIASES)]
+    rows += [(100 + 10 * k + n, f"http://h{k}.net{path}", to) for k in range(len(ALIASES))
+             for n, path in enumerate(["/de/2", "/de/2/", "/a/b/page?a=1&b=/../2", "/q?c=1&d=2"])]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_every_tag_entity_and_dot_segment(spark):
+    got = {r.page_id: r.verdict for r in url_filter.judge_pages(_alias_pages(spark), RULES).collect()}
+    assert [got[k] == "block" for k in range(len(ALIASES))] == [blocked for _, blocked in ALIASES]
+
+
+def test_aliases_equal_sql(spark):
+    """The registered query's SQL over pages that have aliases, by its own rules."""
+    pages = _alias_pages(spark)
+    got = url_filter.judge_pages(pages, URL_RULES).toPandas()
+    con = duckdb.connect().register("pages", pages.toPandas())
+    want = con.sql(LLM_ORACLE["op4_url_filter"]).df()
+    rows = lambda df: sorted(map(str, df[sorted(want.columns)].convert_dtypes().values.tolist()))
+    assert rows(got) == rows(want) and (got.verdict == "block").sum() > 40
+
+
 @pytest.mark.parametrize("block, passes", [(50_000, 8), (100, 8), (40, 2)])
 def test_decontamination(make_docs, spark, odd_rows, clash, monkeypatch, block, passes):
     """One broadcast, several, and the shuffle join of a large benchmark."""
