@@ -223,7 +223,7 @@ SELECT tp, n_out - tp AS fp, n_truth - tp AS fn,
     q["user_pair_stats"] = (_with(*CF_BASE, LABELED, CF_ROWS, USER_NEIGH, USER_STATS)
                             + """SELECT g.user_id, g.item_id, g.neighbour_id, g.r_vi, s.n, s.sx, s.sy, s.sxx, s.syy, s.sxy
 FROM neigh g JOIN ust s ON s.user_id = g.user_id AND s.neighbour_id = g.neighbour_id""")
-    q["user_cf"] = _with(*user_cf_ctes()) + _final("ucf")
+    q["user_cf"] = q["user_cf_stored"] = _with(*user_cf_ctes()) + _final("ucf")
     q["item_pair_stats"] = (_with(*CF_BASE, LABELED, CF_ROWS, ITEM_NEIGH, _item_stats("neigh"))
                             + """SELECT g.user_id, g.item_id, g.neighbour_item, g.r_uj, s.n, s.sx, s.sy, s.sxx, s.syy, s.sxy
 FROM neigh g JOIN ist s ON s.item_id = g.item_id AND s.neighbour_item = g.neighbour_item""")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import ALS_TOLERANCE
 from ..operators import als, cf, evaluate, jaccard, minhash, nested, ranking
+from ..operators.stored import predict_user_cf_stored
 from ..sources import fixtures as fx
 from ..session import reliable_checkpoint, shared_folder
 from ..sources.ratings import (PAIR_HEADER, RATING_NAMES, as_ratings, dedupe_ratings, parse_lines, read_ordered,
@@ -109,6 +110,10 @@ def q_user_cf(spark, d):
     return _rounded(cf.predict_user_cf(_train(spark, d), fx.test_pairs(spark, d)))
 
 
+def q_user_cf_stored(spark, d):
+    return _rounded(predict_user_cf_stored(_train(spark, d), fx.test_pairs(spark, d)))
+
+
 def q_item_cf(spark, d):
     return _rounded(cf.predict_item_cf(_train(spark, d), fx.test_pairs(spark, d)))
 
@@ -267,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "user_means": q_user_means,
     "user_pair_stats": q_user_pair_stats,
     "user_cf": q_user_cf,
+    "user_cf_stored": q_user_cf_stored,
     "item_pair_stats": q_item_pair_stats,
     "item_cf": q_item_cf,
     "item_cf_amplified": q_item_cf_amplified,
