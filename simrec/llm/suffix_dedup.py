@@ -12,13 +12,14 @@ through sequential files. Spark prepares collections that can be decided on thei
    segments of a document hold each start once. Equal strings have equal anchors and
    equal ``LENGTH - WINDOW + 1`` bytes from there on, whose hash is the segment's key.
    A key that occurs once has no repeat.
-2. *Copies.* Equal segments (key and a second 64-bit hash of the whole) become one with
-   a count, which they carry into the collection.
+2. *Copies.* Of equal segments (by key and a 128-bit BLAKE2b digest of their bytes) the first
+   and the last go into a collection, so that every repeat is found there on the bytes of
+   two occurrences; what holds for them holds for the copies between them.
 3. *Hot keys* with more than ``GROUP_MAX`` different segments are split into single
-   strings, keyed by 128 hash bits; equal strings become one with a count.
+   strings, keyed by such a digest; again the first and the last of equal ones go on.
 4. Segments are grouped by key into shards of about ``SHARD_BYTES``, one task each.
-5. The repeated starts are joined back to all occurrences, and every document's bytes
-   are cut.
+5. The repeated starts are joined back to all occurrences, a key's rows in blocks of
+   about ``BLOCK_ROWS``, and every document's bytes are cut.
 
 Edge cases: null and empty texts, and texts shorter than ``LENGTH``, lose nothing;
 repeated rows are repeats of each other; texts of any length are read in pieces of
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,7 @@ LENGTH, WINDOW, GRAM = 400, 256, 16
 PIECE = 1 << 19
 GROUP_MAX = 4000
 SHARD_BYTES = 3_000_000
+BLOCK_ROWS = 100_000
 _POS_BITS = 20                                  # positions inside a piece, in the minimum
 
 
@@ -76,17 +79,26 @@ class _Hashes:
     def raw(self, at, size) -> np.ndarray:
         return (self.sums[at + size] - self.sums[at]) * self.inverse[at]
 
-    def __call__(self, at, size, salt: int = 0) -> np.ndarray:
-        return _mix(self.raw(at, size) ^ np.uint64(salt))
+    def __call__(self, at, size) -> np.ndarray:
+        return _mix(self.raw(at, size))
+
+    def each(self, n: int, size: int) -> np.ndarray:
+        """Hashes of the spans at 0 .. n-1."""
+        return _mix((self.sums[size:size + n] - self.sums[:n]) * self.inverse[:n])
+
+
+def _digest(span: bytes) -> bytes:
+    return blake2b(span, digest_size=16).digest()
 
 
 def _segments(text: bytes, piece: int = PIECE):
-    """(start, number of starts, key, signature) of every segment of a text."""
+    """(start, number of starts, key, digest) of every segment of a text."""
     for c in range(0, max(len(text) - LENGTH + 1, 0), piece):
-        flat = np.frombuffer(text[c:c + piece + LENGTH - 1], np.uint8)
+        part = text[c:c + piece + LENGTH - 1]
+        flat = np.frombuffer(part, np.uint8)
         n = len(flat) - LENGTH + 1
         h = _Hashes(flat)
-        grams = h(np.arange(n + WINDOW - 1), GRAM)
+        grams = h.each(n + WINDOW - 1, GRAM)
         low = np.uint64((1 << _POS_BITS) - 1)
         ranked = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         # smallest of each window: of the rest of one block and the begin of the next
@@ -100,16 +112,18 @@ def _segments(text: bytes, piece: int = PIECE):
         lo = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1))
         size = np.diff(np.concatenate((lo, [n])))
         key = h(anchor[lo], LENGTH - WINDOW + 1)
-        sig = h(lo, size + LENGTH - 1, salt=0x5851F42D4C957F2D)
-        yield c + lo, size, key.view(np.int64), sig.view(np.int64)
+        ends = (lo + size + LENGTH - 1).tolist()
+        sig = [_digest(part[a:b]) for a, b in zip(lo.tolist(), ends)]
+        yield c + lo, size, key.view(np.int64), np.array(sig, "S16").view("V16")
 
 
 def _lists(parts: list[list[np.ndarray]], column: int, kind) -> pa.Array:
     sizes = [sum(len(p[column]) for p in own) for own in parts]
     flat = [p[column].astype(kind, copy=False) for own in parts for p in own]
     values = np.concatenate(flat) if flat else np.zeros(0, kind)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
-                                    pa.array(values))
+    made = pa.array(values) if kind != "V16" else pa.Array.from_buffers(
+        pa.binary(16), len(values), [None, pa.py_buffer(values.tobytes())]).cast(pa.binary())
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), made)
 
 
 def _all_segments(docs: DataFrame) -> DataFrame:
@@ -119,11 +133,11 @@ def _all_segments(docs: DataFrame) -> DataFrame:
             made = [list(_segments(t or b"")) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), _lists(made, 0, np.int32), _lists(made, 1, np.int32),
-                 _lists(made, 2, np.int64), _lists(made, 3, np.int64)],
+                 _lists(made, 2, np.int64), _lists(made, 3, "V16")],
                 names=["dn", "p0", "n", "key", "sig"])
 
     lists = checkpoint(docs.mapInArrow(
-        run, "dn long, p0 array<int>, n array<int>, key array<long>, sig array<long>"))
+        run, "dn long, p0 array<int>, n array<int>, key array<long>, sig array<binary>"))
     each = lists.select("dn", F.explode(F.arrays_zip("p0", "n", "key", "sig")).alias("s"))
     return each.select("dn", "s.*")
 
@@ -138,27 +152,44 @@ def _runs(starts: np.ndarray) -> list[dict]:
     return [{"lo": a, "hi": b} for a, b in zip(lo.tolist(), hi.tolist())]
 
 
+def _join_one(rows: DataFrame, one: DataFrame, counts: DataFrame, on: list[str], by: list[str]) -> DataFrame:
+    """``rows`` joined with ``one``, which has at most a row per key. ``counts`` holds each key's
+    rows ``c``; keys with many are cut into blocks (by the columns ``by``) on both sides."""
+    blocks = F.ceil(F.col("c") / BLOCK_ROWS)
+    many = small_side(counts.where(F.col("c") > BLOCK_ROWS).select(*on, blocks.alias("_b")))
+    n = F.coalesce("_b", F.lit(1))
+    cut = rows.join(many, on, "left").withColumn("_k", F.pmod(F.xxhash64(*by), n)).drop("_b")
+    each = one.join(many, on, "left").withColumn("_k", F.explode(F.sequence(F.lit(0), n - 1))).drop("_b")
+    return cut.join(each, [*on, "_k"]).drop("_k")
+
+
+def _first_and_last(groups: DataFrame, on: list[str]) -> DataFrame:
+    """``on, c, o`` and the columns of ``r`` (o = 0) and, if c > 1, of ``s`` (o = 1)."""
+    both = F.when(F.col("c") > 1, F.array("r", "s")).otherwise(F.array("r"))
+    return groups.select(*on, "c", F.posexplode(both).alias("o", "x")).select(*on, "c", "o", "x.*")
+
+
 def _decide(texts: DataFrame) -> DataFrame:
-    """``key, sig, runs``: repeated starts of the texts ``(key, sig, copies, text)``; only
-    texts of equal key are compared for sure (a shard holds many keys)."""
+    """``key, sig, runs``: repeated starts of the texts ``(key, sig, o, text)``, as those with
+    o = 0 have them; only texts of equal key are compared for sure (a shard holds many keys)."""
     shards = 1 + (texts.agg(F.sum(F.length("text"))).first()[0] or 0) // SHARD_BYTES
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
 
     def decide(group: pa.Table) -> pa.Table:
-        found = repeated_starts(group.column("text").to_pylist(), LENGTH,
-                                group.column("copies").to_pylist())
-        hit = pa.array([i for i, starts in enumerate(found) if len(starts)], pa.int64())
+        found = repeated_starts(group.column("text").to_pylist(), LENGTH)
+        hit = pa.array([i for i, (starts, o) in enumerate(zip(found, group.column("o").to_pylist()))
+                        if o == 0 and len(starts)], pa.int64())
         kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
         return pa.table({"key": group.column("key").take(hit), "sig": group.column("sig").take(hit),
                          "runs": pa.array([_runs(found[i]) for i in hit.to_pylist()], kind)})
 
     return (dealt.repartition(min(int(shards), 100_000), "shard").groupBy("shard")
-                 .applyInArrow(decide, f"key long, sig long, runs {_RUNS}"))
+                 .applyInArrow(decide, f"key long, sig binary, runs {_RUNS}"))
 
 
 def _texts_of(docs: DataFrame, segs: DataFrame) -> DataFrame:
-    """``key, sig, copies, text`` of the segments ``(key, sig, copies, dn, p0, n)``."""
-    want = segs.groupBy("dn").agg(F.collect_list(F.struct("key", "sig", "copies", "p0", "n")).alias("w"))
+    """``key, sig, o, text`` of the segments ``(key, sig, o, dn, p0, n)``."""
+    want = segs.groupBy("dn").agg(F.collect_list(F.struct("key", "sig", "o", "p0", "n")).alias("w"))
     both = docs.join(want, F.col("_dn") == F.col("dn")).select("text", "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,59 +197,59 @@ def _texts_of(docs: DataFrame, segs: DataFrame) -> DataFrame:
             for text, want in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w["key"] for w in want], pa.int64()),
-                     pa.array([w["sig"] for w in want], pa.int64()),
-                     pa.array([w["copies"] for w in want], pa.int64()),
+                     pa.array([w["sig"] for w in want], pa.binary()),
+                     pa.array([w["o"] for w in want], pa.int32()),
                      pa.array([text[w["p0"]:w["p0"] + w["n"] + LENGTH - 1] for w in want], pa.binary())],
-                    names=["key", "sig", "copies", "text"])
+                    names=["key", "sig", "o", "text"])
 
-    return both.mapInArrow(run, "key long, sig long, copies long, text binary")
+    return both.mapInArrow(run, "key long, sig binary, o int, text binary")
 
 
 def _decide_hot(texts: DataFrame) -> DataFrame:
     """``key, sig, runs`` of segments whose key is hot, string by string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, sig, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, sig, o, text in zip(*(c.to_pylist() for c in batch.columns)):
                 n = len(text) - LENGTH + 1
-                h, at = _Hashes(np.frombuffer(text, np.uint8)), np.arange(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * n, pa.int64()), pa.array([sig] * n, pa.int64()),
-                     pa.array([copies] * n, pa.int64()), pa.array(at, pa.int32()),
-                     pa.array(h(at, LENGTH).view(np.int64)),
-                     pa.array(h(at, LENGTH, salt=0x2545F4914F6CDD1D).view(np.int64))],
-                    names=["key", "sig", "copies", "i", "w1", "w2"])
-
-    strings = checkpoint(texts.mapInArrow(
-        run, "key long, sig long, copies long, i int, w1 long, w2 long"))
-    twice = (strings.groupBy("w1", "w2")
-             .agg(F.sum("copies").alias("c"), F.min(F.struct("key", "sig", "i")).alias("r"))
-             .where("c > 1").select("w1", "w2", F.least("c", F.lit(2)).alias("copies"), "r.*"))
-    twice = checkpoint(twice)
-    kept = twice.join(texts.select("key", "sig", "text"), ["key", "sig"]).select(
-        F.col("w1").alias("key"), F.col("w2").alias("sig"), "copies",
+                    [pa.array([key] * n, pa.int64()), pa.array([sig] * n, pa.binary()),
+                     pa.array([o] * n, pa.int32()), pa.array(range(n), pa.int32()),
+                     pa.array([_digest(text[i:i + LENGTH]) for i in range(n)], pa.binary())],
+                    names=["key", "sig", "o", "i", "w"])
+
+    strings = checkpoint(texts.mapInArrow(run, "key long, sig binary, o int, i int, w binary"))
+    at = F.struct("key", "sig", F.col("o").alias("side"), "i")
+    twice = checkpoint(_first_and_last(
+        strings.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.min(at).alias("r"), F.max(at).alias("s"))
+               .where("c > 1"), ["w"]))
+    kept = twice.join(texts.withColumnRenamed("o", "side"), ["key", "sig", "side"]).select(
+        F.xxhash64("w").alias("key"), F.col("w").alias("sig"), "o",
         F.substring("text", F.col("i") + 1, F.lit(LENGTH)).alias("text"))
-    hit = _decide(kept).select(F.col("key").alias("w1"), F.col("sig").alias("w2"))
+    hit = checkpoint(_decide(kept).select(F.col("sig").alias("w")))
     one = F.struct(F.col("i").alias("lo"), F.col("i").alias("hi"))
-    return (strings.join(hit, ["w1", "w2"]).groupBy("key", "sig")
-            .agg(F.collect_list(one).alias("runs")))
+    found = _join_one(strings.where("o = 0"), hit, twice.where("o = 0"), ["w"], ["key", "sig"])
+    return found.groupBy("key", "sig").agg(F.collect_list(one).alias("runs"))
 
 
 def repeated_spans(docs: DataFrame, once: DataFrame) -> DataFrame:
     """``dn, spans``: byte ranges (lo, hi) of each document's repeated strings. ``docs`` and
     ``once`` (without repeated documents) have ``_dn`` and ``text``."""
     every = _all_segments(docs.select("_dn", "text"))
-    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    live = checkpoint(every.join(keys, "key"))
-    segs = live.groupBy("key", "sig").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("copies"),
-                                          F.min(F.struct("dn", "p0", "n")).alias("r"))
-    segs = checkpoint(segs.select("key", "sig", "copies", "r.*"))
-    hot = small_side(segs.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-                     .where(F.col("c") > GROUP_MAX).select("key"))
+    keys = checkpoint(every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    live = checkpoint(_join_one(every, keys.select("key"), keys, ["key"], ["dn", "p0"]))
+    at = F.struct("dn", "p0", "n")
+    segs = checkpoint(_first_and_last(
+        live.groupBy("key", "sig").agg(F.count(F.lit(1)).alias("c"), F.min(at).alias("r"),
+                                       F.max(at).alias("s")), ["key", "sig"]))
+    firsts = segs.where("o = 0")
+    hot = small_side(firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") > GROUP_MAX).select("key"))
     texts = checkpoint(_texts_of(once, segs))
     hits = _decide(texts.join(hot, "key", "left_anti"))
     if not hot.isEmpty():
         hits = hits.union(_decide_hot(texts.join(hot, "key", "left_semi")))
-    found = live.join(checkpoint(hits), ["key", "sig"]).select("dn", "p0", "runs").distinct()
+    found = _join_one(live, checkpoint(hits), firsts, ["key", "sig"], ["dn", "p0"])
+    found = found.select("dn", "p0", "runs").distinct()
     spans = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("p0")).alias("lo"),
                                                    (r["hi"] + F.col("p0") + LENGTH).alias("hi")))
     return found.groupBy("dn").agg(F.flatten(F.collect_list(spans)).alias("spans"))

@@ -55,6 +55,7 @@ def _rows(seed):
 def test_equals_brute_force(make_docs, odd_rows, clash, monkeypatch, group_max, shard, piece):
     monkeypatch.setattr(suffix_dedup, "GROUP_MAX", group_max)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_ROWS", group_max)
     cuts = suffix_dedup._segments
     monkeypatch.setattr(suffix_dedup, "_segments", lambda t: cuts(t, piece))
     rows = _rows(1) + [r for r in odd_rows if r[0] != 6]
@@ -69,15 +70,20 @@ def test_long_text_and_empty_table(make_docs, odd_rows):
     assert suffix_dedup.cut_repeats(make_docs(rows).limit(0)).count() == 0
 
 
-def test_copies_count_as_repeats():
+def test_copies_are_repeats():
+    """Equal texts, one of them with a tail, and texts that lie inside others."""
     rng = random.Random(4)
     texts = [bytes(rng.choices(b"ab", k=rng.randint(0, 200))) for _ in range(8)]
     texts.append(texts[0][:150] + b"c" * 30)
-    copies = [rng.choice([1, 2]) for _ in texts]
-    twice = [t for t, c in zip(texts, copies) for _ in range(c)]
-    want = dict(zip(twice, _starts(twice, 80)))
-    got = bwt.repeated_starts(texts, 80, copies)
-    assert [x.tolist() for x in got] == [want[t] for t in texts]
+    twice = [t for t in texts for _ in range(rng.choice([1, 2]))] + [texts[1][20:], texts[2][:130]]
+    assert [x.tolist() for x in bwt.repeated_starts(twice, 80)] == _starts(twice, 80)
+
+
+def test_unrelated_blocks_in_one_bucket(monkeypatch):
+    """Blocks that share a bucket by chance are inserted, and decide nothing."""
+    monkeypatch.setattr(bwt, "_BUCKET_BITS", 1)
+    for seed in range(4):
+        test_repeated_starts(seed)
 
 
 def test_colliding_block_hashes(monkeypatch):
