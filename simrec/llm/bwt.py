@@ -20,7 +20,6 @@ from pathlib import Path
 import numpy as np
 
 BLOCK = 80
-_BUCKET_BITS = 22
 _COLUMNS = (("key", np.int64), ("lcp", np.uint8), ("suffix", np.int32))
 _REST = np.int64((1 << 32) - 1)
 
@@ -100,10 +99,16 @@ def _block_hash(word: np.ndarray, n: int) -> np.ndarray:
     return code
 
 
+def _bucket_bits(n: int) -> int:
+    """Buckets for n hashes: about one to two each."""
+    return max(10, n.bit_length())
+
+
 def _maybe_shared(code: np.ndarray, inside: np.ndarray) -> np.ndarray:
     """False where the block is for sure the only one of its kind among those ``inside``."""
-    bucket = (code >> np.uint64(64 - _BUCKET_BITS)).astype(np.int32)
-    return inside & (np.bincount(bucket[inside], minlength=1 << _BUCKET_BITS) > 1)[bucket]
+    bits = _bucket_bits(len(code))
+    bucket = (code >> np.uint64(64 - bits)).astype(np.int32)
+    return inside & (np.bincount(bucket[inside], minlength=1 << bits) > 1)[bucket]
 
 
 def _symbols(word: np.ndarray, code: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ through sequential files. Spark prepares collections that can be decided on thei
    two occurrences; what holds for them holds for the copies between them.
 3. *Hot keys* with more than ``GROUP_MAX`` different segments are split into single
    strings, keyed by such a digest; again the first and the last of equal ones go on.
-4. Segments are grouped by key into shards of about ``SHARD_BYTES``, one task each.
+4. Segments are grouped by key into shards of about ``SHARD_BYTES``, ``TASK_SHARDS`` a task.
 5. The repeated starts are joined back to all occurrences, a key's rows in blocks of
    about ``BLOCK_ROWS``, and every document's bytes are cut.
 
@@ -44,7 +44,8 @@ from .line_dedup import numbered
 LENGTH, WINDOW, GRAM = 400, 256, 16
 PIECE = 1 << 19
 GROUP_MAX = 4000
-SHARD_BYTES = 3_000_000
+#: a shard's columns stay in a core's cache; a task takes about so many shards
+SHARD_BYTES, TASK_SHARDS = 1_000_000, 4
 BLOCK_ROWS = 100_000
 _POS_BITS = 20                                  # positions inside a piece, in the minimum
 
@@ -183,7 +184,7 @@ def _decide(texts: DataFrame) -> DataFrame:
         return pa.table({"key": group.column("key").take(hit), "sig": group.column("sig").take(hit),
                          "runs": pa.array([_runs(found[i]) for i in hit.to_pylist()], kind)})
 
-    return (dealt.repartition(min(int(shards), 100_000), "shard").groupBy("shard")
+    return (dealt.repartition(min(1 + int(shards) // TASK_SHARDS, 100_000), "shard").groupBy("shard")
                  .applyInArrow(decide, f"key long, sig binary, runs {_RUNS}"))
 
 

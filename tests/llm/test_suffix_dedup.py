@@ -81,7 +81,7 @@ def test_copies_are_repeats():
 
 def test_unrelated_blocks_in_one_bucket(monkeypatch):
     """Blocks that share a bucket by chance are inserted, and decide nothing."""
-    monkeypatch.setattr(bwt, "_BUCKET_BITS", 1)
+    monkeypatch.setattr(bwt, "_bucket_bits", lambda n: 1)
     for seed in range(4):
         test_repeated_starts(seed)
 
