@@ -170,10 +170,11 @@ def _first_and_last(groups: DataFrame, on: list[str]) -> DataFrame:
     return groups.select(*on, "c", F.posexplode(both).alias("o", "x")).select(*on, "c", "o", "x.*")
 
 
-def _decide(texts: DataFrame) -> DataFrame:
+def _decide(texts: DataFrame, size: int) -> DataFrame:
     """``key, sig, runs``: repeated starts of the texts ``(key, sig, o, text)``, as those with
-    o = 0 have them; only texts of equal key are compared for sure (a shard holds many keys)."""
-    shards = 1 + (texts.agg(F.sum(F.length("text"))).first()[0] or 0) // SHARD_BYTES
+    o = 0 have them; only texts of equal key are compared for sure (a shard holds many keys).
+    ``size`` is their bytes, or more."""
+    shards = 1 + size // SHARD_BYTES
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
 
     def decide(group: pa.Table) -> pa.Table:
@@ -226,7 +227,7 @@ def _decide_hot(texts: DataFrame) -> DataFrame:
     kept = twice.join(texts.withColumnRenamed("o", "side"), ["key", "sig", "side"]).select(
         F.xxhash64("w").alias("key"), F.col("w").alias("sig"), "o",
         F.substring("text", F.col("i") + 1, F.lit(LENGTH)).alias("text"))
-    hit = checkpoint(_decide(kept).select(F.col("sig").alias("w")))
+    hit = checkpoint(_decide(kept, twice.count() * LENGTH).select(F.col("sig").alias("w")))
     one = F.struct(F.col("i").alias("lo"), F.col("i").alias("hi"))
     found = _join_one(strings.where("o = 0"), hit, twice.where("o = 0"), ["w"], ["key", "sig"])
     return found.groupBy("key", "sig").agg(F.collect_list(one).alias("runs"))
@@ -245,9 +246,13 @@ def repeated_spans(docs: DataFrame, once: DataFrame) -> DataFrame:
     firsts = segs.where("o = 0")
     hot = small_side(firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
                      .where(F.col("n") > GROUP_MAX).select("key"))
-    texts = checkpoint(_texts_of(once, segs))
-    hits = _decide(texts.join(hot, "key", "left_anti"))
-    if not hot.isEmpty():
+    size = segs.agg(F.sum(F.col("n") + (LENGTH - 1))).first()[0] or 0
+    texts = _texts_of(once, segs)
+    if hot.isEmpty():
+        hits = _decide(texts, size)
+    else:
+        texts = checkpoint(texts)
+        hits = _decide(texts.join(hot, "key", "left_anti"), size)
         hits = hits.union(_decide_hot(texts.join(hot, "key", "left_semi")))
     found = _join_one(live, checkpoint(hits), firsts, ["key", "sig"], ["dn", "p0"])
     found = found.select("dn", "p0", "runs").distinct()
