@@ -87,3 +87,28 @@ def test_large_sides_are_joined_by_shuffle(make_docs, monkeypatch):
     rows = _rows(3, 20)
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(make_docs(rows)).collect()}
     assert got == {d: t for (d, _), t in zip(rows, _want(rows))}
+
+
+def test_leaders_decide_a_drifting_group(make_docs):
+    """Near copies of one line, each with words of its own: few members meet all the others."""
+    rng = random.Random(5)
+    base = words(rng, 60, 10**6)
+    near = []
+    for i in range(250):
+        w = list(base)
+        for at in rng.sample(range(60), rng.randint(2, 12)):
+            w[at] = f"v{at}_{rng.randrange(3)}"
+        near.append(w)
+    docs = make_docs([(i, " ".join(w)) for i, w in enumerate(near)])
+    sets = [set(w) for w in near]
+    similar = {x for x in range(250) for y in range(x)
+               if 9 * len(sets[x] & sets[y]) >= 4 * (len(sets[x]) + len(sets[y]))}
+
+    lines = line_dedup._lines(docs.withColumn("_dn", docs.doc_id.cast("long")), docs["text"])
+    posted = line_dedup.checkpoint(line_dedup._postings(lines, line_dedup._rarity(docs, docs["text"])))
+    led = line_dedup.checkpoint(line_dedup._led(posted))
+    decided = line_dedup._verified(led, lines).select(line_dedup.F.col("x").alias("_d"))
+    found = {r._d >> line_dedup._LINE_BITS for r in decided.collect()}
+    assert found <= similar and len(similar - found) <= len(similar) // 20
+    assert led.count() <= line_dedup._LEADERS * 250
+    assert {r.doc_id for r in line_dedup.line_report(docs).where("n_removed > 0").collect()} == similar
